@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import evidence, extraction, graphs, measures, retrieval, structure  # noqa: F401
+from .registry import ORACLE_SQL, QUERIES  # noqa: F401
