@@ -19,7 +19,7 @@ def basename(path: Column | str) -> Column:
 def slug(kind: Column | str, label: Column | str) -> Column:
     """``kind:label`` with the label in lower case and other signs as underscores, trimmed."""
     clean = F.regexp_replace(F.lower(F.trim(label)), r"[^a-z0-9_]", "_")
-    return F.concat(kind, F.lit(":"), F.trim(F.lit("_"), clean))
+    return F.concat(kind, F.lit(":"), F.trim(clean, F.lit("_")))
 
 
 def fingerprint(category: Column, context: Column, description: Column) -> Column:

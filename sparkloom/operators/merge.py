@@ -57,7 +57,7 @@ def budget_cut(df: DataFrame, size: str, order: list, budget: int, within: list[
 
 
 def top_per(df: DataFrame, group: list[str], order: list, k: int) -> DataFrame:
-    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("rank") <= k)
+    return df.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("long")).where(F.col("rank") <= k)
 
 
 def batches(df: DataFrame, n: int, order: list, within: list[str] = ()) -> DataFrame:

@@ -50,7 +50,7 @@ def q44_basenames(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", basename(F.regexp_replace("url", r"[?#].*$", "")).alias("name"))
 
 
-@query("""SELECT item_id, array_to_string(list_transform(list_distinct_ordered, t -> '"' || t || '"'), ' OR ') AS q FROM (SELECT item_id, list_filter(x, (t, i) -> list_position(x, t) = i)[1:30] AS list_distinct_ordered FROM (SELECT item_id, regexp_extract_all(lower(regexp_replace(text, '([a-z])([A-Z])', '\\1 \\2', 'g')), '([a-z0-9_]{2,})', 1) AS x FROM benchmark))""")
+@query("""SELECT item_id, array_to_string(list_transform(list_distinct_ordered, lambda t: '"' || t || '"'), ' OR ') AS q FROM (SELECT item_id, list_filter(x, lambda t, i: list_position(x, t) = i)[1:30] AS list_distinct_ordered FROM (SELECT item_id, regexp_extract_all(lower(regexp_replace(text, '([a-z])([A-Z])', '\\1 \\2', 'g')), '([a-z0-9_]{2,})', 1) AS x FROM benchmark))""")
 def q45_search_query(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select("item_id", or_query(F.col("text")).alias("q"))
 
