@@ -91,6 +91,19 @@ class _Need:
     def prefix(self, a: int) -> int:
         return a - self.least(a) + 1
 
+    def common(self, a, b):
+        """Columns: shingles that sets of these sizes must share to be linked."""
+        return F.ceil(F.lit(self.num) * (a + b) / F.lit(self.num + self.den) - 1e-9)
+
+    def bound(self) -> int:
+        """Hash values below this are small: about a third more of a set's than its prefix."""
+        return min(int(1.33 * (1 - self.num / self.den) * 2.0**64), 2**64 - 1)
+
+    def is_small(self, key):
+        """The same test on a column of signed keys."""
+        bound = self.bound()
+        return (key >= 0) & (key < bound) if bound < 1 << 63 else (key >= 0) | (key < bound - (1 << 64))
+
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
     def name(batches):
@@ -110,12 +123,12 @@ def _keys(docs: DataFrame, n: int, need: _Need) -> DataFrame:
     The order of shingles is global: those of small hash first, rarest first
     among them, then the others by hash. Of a set that has as many of small hash
     as its prefix is long only those are dealt out, else its whole prefix.
-    ``spare`` tells how many rows more than the prefix a document has. A set of
+    ``spare`` tells how many rows more than the prefix a document has, times
+    four, plus 2 if it has rows of large hash, plus the kind. A set of
     under ``SMALL`` shingles counts all as of small hash; where the sizes of two
     linked sets may lie on both sides, the smaller set takes part in both kinds.
     """
-    share = min(1.0, 1.33 * (1 - need.num / need.den))
-    bound = np.uint64(min(int(share * 2.0**64), 2**64 - 1))
+    bound = np.uint64(need.bound())
     edge = need.least(SMALL)
 
     def deal(batches):
@@ -135,10 +148,11 @@ def _keys(docs: DataFrame, n: int, need: _Need) -> DataFrame:
                     continue
                 first = need.prefix(len(s))
                 if len(s) < SMALL:
-                    put(doc, _mixed(s, _MIX[1]), 2 * (len(s) - first))
+                    put(doc, _mixed(s, _MIX[1]), 4 * (len(s) - first))
                 if len(s) >= edge:
-                    low = max(first, int(np.searchsorted(s, bound)))
-                    put(doc, s[:low], 2 * (low - first) + 1)
+                    small = int(np.searchsorted(s, bound))
+                    low = max(first, small)
+                    put(doc, s[:low], 4 * (low - first) + 2 * (low > small) + 1)
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(owners)), pa.array(np.concatenate(spares))], names=["key", "doc_id", "spare"])
 
@@ -209,7 +223,8 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     sets = written(_sets(rows, n), "sets")
     named = sets.where("doc_id is not null and n > 0")
     nodes = named.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("node"))
-    member = written(named.join(nodes, ["n", "h1", "h2"]).select("doc_id", "n", "node").distinct(), "members")
+    per_id = named.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    member = written(named.distinct().join(nodes, ["n", "h1", "h2"]).join(per_id, "doc_id").select("doc_id", "n", "node", "rows"), "members")
     # Rows of one id with different texts tie their nodes together.
     same_id = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
     tied = member.join(same_id.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b")).where("a <> b")
@@ -217,13 +232,20 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     keys = _keys(known, n, need).withColumn("df", F.count("*").over(Window.partitionBy("key"))).where("df > 1")
     own = Window.partitionBy("doc_id", "spare")
     # Keys that no other document has come first in a prefix and need not be looked at again.
-    allowed = F.count("*").over(own) - F.shiftright("spare", 1)
-    prefix = keys.withColumn("__rank", F.row_number().over(own.orderBy("df", "key"))).withColumn("__allowed", allowed).where("__rank <= __allowed").select("key", "doc_id")
-    by_node = prefix.join(member, "doc_id").groupBy("key", "node").agg(F.min("n").alias("n"))
+    spare, many, large = F.shiftright("spare", 2), F.count("*").over(own), F.col("spare").bitwiseAND(2) > 0
+    order = (F.col("spare").bitwiseAND(1).cast("boolean") & ~need.is_small(F.col("key"))).cast("int")
+    ranked = keys.withColumn("rank", F.row_number().over(own.orderBy(order, "df", "key"))).withColumn("many", many)
+    prefix = ranked.where(F.col("rank") <= F.col("many") - spare).select("key", "doc_id", F.when(large, F.col("rank")).alias("at_least"), (spare - F.col("many") + F.col("rank")).alias("back"))
+    # The place of a key in its document's order, or less where that is not known.
+    length = F.col("n") - F.ceil(F.lit(num) * F.col("n") / F.lit(den) - 1e-9) + 1
+    place = F.when(F.col("rows") > 1, 1).otherwise(F.coalesce("at_least", length + F.col("back")))
+    by_node = prefix.join(member, "doc_id").groupBy("key", "node").agg(F.min("n").alias("n"), F.max(F.col("n") - place + 1).alias("left"))
     prefixes = written(by_node, "prefixes")
-    shared = prefixes.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("pivot"), F.min_by("n", "node").alias("pivot_n")).where("c > 1")
-    buckets = written(prefixes.join(shared, "key").select("key", "node", "n", "pivot", "pivot_n"), "buckets")
-    fits = (F.lit(den) * F.least("n", "pivot_n") >= F.lit(num) * F.greatest("n", "pivot_n")) & (F.col("node") != F.col("pivot"))
+    pivot = F.struct("node", "n", "left")
+    shared = prefixes.groupBy("key").agg(F.count("*").alias("c"), F.min_by(pivot, "node").alias("p")).where("c > 1")
+    buckets = written(prefixes.join(shared, "key").select("key", "node", "n", "left", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.left").alias("pivot_left")), "buckets")
+    # Of the first key that two linked sets share, at least their common shingles are left in both.
+    fits = (need.common(F.col("n"), F.col("pivot_n")) <= F.least("left", "pivot_left")) & (F.col("node") != F.col("pivot"))
     best = buckets.where(fits).groupBy("node", "pivot").agg(F.count("*").alias("c")).groupBy("node").agg(F.min_by("pivot", F.struct(-F.col("c"), F.col("pivot"))).alias("pivot"))
 
     wanted = buckets.select("node").distinct()
@@ -240,16 +262,17 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
 
     grouped = written(components(links), "groups")
     group = F.coalesce(F.col("component"), F.col("node"))
-    in_groups = buckets.join(grouped, "node", "left").select("key", "node", "n", group.alias("g"))
+    in_groups = buckets.join(grouped, "node", "left").select("key", "node", "n", "left", group.alias("g"))
     mixed_keys = in_groups.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("key")
     in_groups = written(in_groups.join(mixed_keys, "key"), "mixed")
     sizes = in_groups.select("node", "g").distinct().groupBy("g").agg(F.count("*").alias("size"))
     tile = F.xxhash64("g", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / TILE)))
-    tiled = written(in_groups.join(sizes, "g").select("key", "node", "n", "g", tile.alias("tile")), "tiled")
-    left = tiled.select("key", F.col("node").alias("q"), F.col("n").alias("qn"), F.col("g").alias("qg"))
-    right = tiled.groupBy("key", "tile", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    meets = (F.col("qg") > F.col("g")) & (F.lit(den) * F.col("qn") >= F.lit(num) * F.col("lo")) & (F.lit(den) * F.col("hi") >= F.lit(num) * F.col("qn"))
-    across = left.join(right, "key").where(meets).select("q", "tile").distinct()
+    tiled = written(in_groups.join(sizes, "g").select("key", "node", "n", "left", "g", tile.alias("tile")), "tiled")
+    queries = tiled.select("key", F.col("node").alias("q"), F.col("n").alias("qn"), F.col("left").alias("ql"), F.col("g").alias("qg"))
+    rows_of = tiled.groupBy("key", "tile", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("left").alias("tl"))
+    sized = (F.lit(den) * F.col("qn") >= F.lit(num) * F.col("lo")) & (F.lit(den) * F.col("hi") >= F.lit(num) * F.col("qn"))
+    meets = (F.col("qg") > F.col("g")) & sized & (need.common(F.col("qn"), F.col("lo")) <= F.least("ql", "tl"))
+    across = queries.join(rows_of, "key").where(meets).select("q", "tile").distinct()
     more = written(_open(across, tiled.select("tile", "node").distinct(), texts, n, need), "more")
     every = written(components(links.unionByName(more)), "components")
     for t in (prefixes, buckets, texts, pairs, in_groups, tiled, grouped):
