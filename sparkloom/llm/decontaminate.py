@@ -1,8 +1,9 @@
 """Benchmark decontamination: q-gram lemma filtering and banded alignment."""
 
-from __future__ import annotations
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -234,22 +235,18 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block_c
     """The documents that hold no benchmark item, with all their columns, without a shuffle."""
     spark = docs.sparkSession
     for block in _blocks(benchmark, block_chars):
-        shared = spark.sparkContext.broadcast(block)
+        docs = docs.where(~_holder(spark.sparkContext.broadcast(block))(F.col(text_col)))
+    return docs
 
-        @F.pandas_udf("boolean")
-        def holds(parts, shared=shared):
-            import pandas as pd
 
-            global _ITEMS
-            if _ITEMS is None or _ITEMS[0] != shared.id:
-                _ITEMS = (shared.id, Items(shared.value))
-            held = np.zeros(len(parts), bool)
-            for d, *_ in search_texts([t or "" for t in parts], _ITEMS[1]):
+def _holder(shared):
+    @F.pandas_udf("boolean")
+    def holds(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        items = Items(shared.value)
+        for some in parts:
+            held = np.zeros(len(some), bool)
+            for d, *_ in search_texts([t or "" for t in some], items):
                 held[d] = True
-            return pd.Series(held)
-
-        docs = docs.where(~holds(F.col(text_col)))
-    return docs
-
+            yield pd.Series(held)
 
-_ITEMS: tuple | None = None
+    return holds

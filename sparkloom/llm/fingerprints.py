@@ -64,16 +64,18 @@ def signatures(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> Dat
     return best.select(*keys, *[F.col(f"s{k}").bitwiseAND(F.lit(0xFFFFFFFF)).alias(f"s{k}") for k in range(samples)])
 
 
-def _text_of(samples: list[Column]) -> Column:
-    return F.when(samples[0].isNull(), F.lit("")).otherwise(F.concat(*[F.lpad(F.lower(F.hex(s)), 8, "0") for s in samples]))
+def _packed(samples: list[Column]) -> Column:
+    """Four bytes a sample; no bytes without terms."""
+    return F.unhex(F.when(samples[0].isNull(), F.lit("")).otherwise(F.concat(*[F.lpad(F.hex(s), 8, "0") for s in samples])))
 
 
 def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
-    """The share of equal samples of two fingerprints; two without terms are alike, one alone is like none."""
+    """The share of equal samples of two packed fingerprints; two without terms are alike, one alone is like none."""
     same = F.lit(0)
     for k in range(samples):
-        same = same + (F.substring(a, 8 * k + 1, 8) == F.substring(b, 8 * k + 1, 8)).cast("int")
-    return F.when((a == "") & (b == ""), 1.0).when((a == "") | (b == ""), 0.0).otherwise(same / F.lit(float(samples)))
+        same = same + (F.substring(a, 4 * k + 1, 4) == F.substring(b, 4 * k + 1, 4)).cast("int")
+    none_a, none_b = F.octet_length(a) == 0, F.octet_length(b) == 0
+    return F.when(none_a & none_b, 1.0).when(none_a | none_b, 0.0).otherwise(same / F.lit(float(samples)))
 
 
 def _neighbours(keys: DataFrame) -> DataFrame:
@@ -112,15 +114,17 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     where it lies.
 
     Null or empty text: an empty fingerprint. Null ids come last. Rows of one id
-    follow each other in descending order of the text; equal rows are each
-    other's neighbours. A single document is its own neighbour. Empty table: no
+    follow each other in descending order of a hash of the text; equal rows are
+    each other's neighbours. A single document is its own neighbour. Empty table: no
     rows. Other columns are ignored.
     """
     # Rows of one id get numbers; where ids are unique each has the number 1. The key has no nulls.
     no_null = lambda c: F.coalesce(c, F.lit(-(1 << 62)))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("k", no_null(F.col("doc_id")))
-    keyed = rows.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("text")))
-    sized = keyed.select("doc_id", F.col("n").alias("dup"), F.floor(F.char_length("text") / 3).cast("int").alias("need"))
+    number = F.row_number().over(Window.partitionBy("k").orderBy("h"))
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    keyed = rows.withColumn("n", number)
+    sized = rows.select("doc_id", "k", "h", F.floor(F.char_length("text") / 3).cast("int").alias("need")).withColumn("dup", number).select("doc_id", "dup", "need")
     order = written(_neighbours(sized), "neighbours")
     # The numbers are compared by their difference, so that the texts stay dealt by the key alone.
     on = (F.col("k") == F.col("k2")) & (F.col("n") - F.col("n2") == 0)
@@ -133,12 +137,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     pair = F.array(F.struct(F.lit(0).alias("which"), text.alias("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))
     described = both.select("k", "n", F.explode(pair).alias("v"))
     signed = signatures(described.select("k", "n", "v.which", "v.text"), ["k", "n", "which"], samples)
-    printed = signed.select("k", "n", "which", _text_of([F.col(f"s{i}") for i in range(samples)]).alias("print"))
-    prints = printed.groupBy("k", "n").agg(F.max(F.when(F.col("which") == 0, F.col("print"))).alias("fingerprint"), F.max(F.when(F.col("which") == 1, F.col("print"))).alias("edited_fingerprint"))
-    facts = both.select("k", "n", "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-    full = facts.join(prints, ["k", "n"], "left").select("k", "n", "doc_id", "n_chars", "edited_sha256", F.coalesce("fingerprint", F.lit("")).alias("fingerprint"), F.coalesce("edited_fingerprint", F.lit("")).alias("edited_fingerprint"))
-    full = written(full, "fingerprints")
-    onward = order.select(no_null(F.col("doc_id")).alias("k"), F.col("dup").alias("n"), no_null(F.col("next_id")).alias("nk"), F.col("next_dup").alias("nn"))
-    nexts = full.select(F.col("k").alias("nk"), F.col("n").alias("nn"), F.col("fingerprint").alias("next_fingerprint"))
-    out = full.join(onward, ["k", "n"]).join(nexts, ["nk", "nn"])
-    return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint"), samples).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_fingerprint"), samples).alias("near_next"))
+    printed = signed.select("k", "n", "which", _packed([F.col(f"s{i}") for i in range(samples)]).alias("print"))
+    prints = printed.groupBy("k", "n").agg(F.max(F.when(F.col("which") == 0, F.col("print"))).alias("own"), F.max(F.when(F.col("which") == 1, F.col("print"))).alias("other"))
+    facts = both.select("k", "n", "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.unhex(F.sha2(F.col("edited").cast("binary"), 256)).alias("sha"))
+    nothing = F.unhex(F.lit(""))
+    full = written(facts.join(prints, ["k", "n"], "left").withColumn("own", F.coalesce("own", nothing)).withColumn("other", F.coalesce("other", nothing)), "fingerprints", "none")
+    # Only a document's own print goes to the document before it.
+    onward = order.select(no_null(F.col("next_id")).alias("k"), F.col("next_dup").alias("n"), no_null(F.col("doc_id")).alias("to_k"), F.col("dup").alias("to_n"))
+    nexts = full.select("k", "n", "own").join(onward, ["k", "n"]).select(F.col("to_k").alias("k"), F.col("to_n").alias("n"), F.col("own").alias("next"))
+    out = full.join(nexts, ["k", "n"])
+    text_form = lambda c: F.lower(F.hex(c))
+    return out.select("doc_id", "n_chars", text_form("sha").alias("edited_sha256"), text_form("own").alias("fingerprint"), text_form("other").alias("edited_fingerprint"), likeness(F.col("own"), F.col("other"), samples).alias("near_edited"), likeness(F.col("own"), F.col("next"), samples).alias("near_next"))

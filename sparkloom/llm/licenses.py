@@ -11,7 +11,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import text_or_empty, written
 
 #: License statements by name.
 TEMPLATES = (
@@ -43,15 +43,17 @@ def _words(text):
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
 
 
-def _shingles(words, n: int = SHINGLE):
-    places = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.xxhash64(*[F.element_at(words, i + j) for j in range(n)]))
+def _with_shingles(rows: DataFrame, text, name: str = "s", n: int = SHINGLE) -> DataFrame:
+    """Add the hashed shingles of a text. The words are a column of their own, made once a row."""
+    worded = rows.withColumn("__words", _words(text))
+    places = F.when(F.size("__words") >= n, F.sequence(F.lit(1), F.size("__words") - (n - 1))).otherwise(F.array().cast("array<int>"))
+    return worded.withColumn(name, F.transform(places, lambda i: F.xxhash64(*[F.element_at("__words", i + j) for j in range(n)]))).drop("__words")
 
 
 def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
     """``template, license, shingles`` (distinct) of the templates that have a shingle."""
     made = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(templates)], "template int, license string, text string")
-    return made.select("template", "license", F.array_distinct(_shingles(_words(F.col("text")))).alias("shingles")).where(F.size("shingles") > 0)
+    return _with_shingles(made, F.col("text")).select("template", "license", F.array_distinct("s").alias("shingles")).where(F.size("shingles") > 0)
 
 
 def bands(least: int, window: int, miss: float = MISS) -> int:
@@ -89,7 +91,10 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, containment: float = C
     if not known:
         return spark.createDataFrame([], schema)
     every = F.array(*[F.lit(h) for h in sorted({h for t in known for h in t["shingles"]})])
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _shingles(_words(text_or_empty(text_col))).alias("s")).where(F.arrays_overlap("s", every))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    near = _with_shingles(texts, F.col("text")).select("doc_id", F.when(F.arrays_overlap("s", every), F.col("s")).alias("s"))
+    # The filter comes after the write: before it, it would be pushed below the words and make them again for each shingle.
+    rows = written(near, "license-near").where("s is not null")
     classes: dict[int, list] = {}
     for t in known:
         classes.setdefault(max(2, math.ceil(math.log2(len(t["shingles"])))), []).append(t)
