@@ -58,3 +58,9 @@ def dropped(df: DataFrame) -> None:
 
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
+
+
+def values(column, rows: int = 256):
+    """The values of an Arrow column one by one, a few at a time as Python objects."""
+    for at in range(0, len(column), rows):
+        yield from column.slice(at, rows).to_pylist()

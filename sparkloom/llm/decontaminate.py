@@ -1,9 +1,8 @@
 """Benchmark decontamination: q-gram lemma filtering and banded alignment."""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,10 +108,13 @@ def distance(item: str, region: str, most: int, centre: int, slack: int) -> tupl
     return (int(cost[k]), int(origin[k]), int(column[k])) if cost[k] <= most else (most + 1, 0, 0)
 
 
-def search_texts(texts: list[str], items: Items, most: int = 4_000_000):
-    """:func:`found_in` over any number of texts, about ``most`` characters at a time."""
-    for a, b in balanced(np.array([len(t) for t in texts], np.int64), most):
-        for d, *rest in found_in([normal(t) for t in texts[a:b]], items):
+def search_texts(column, items: Items, most: int = 1_000_000):
+    """:func:`found_in` over an Arrow column of texts, about ``most`` bytes at a time; null is empty."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    for a, b in balanced(sizes, most):
+        for d, *rest in found_in([normal(t or "") for t in column.slice(a, b - a).to_pylist()], items):
             yield (a + d, *rest)
 
 
@@ -129,7 +131,7 @@ def found_in(texts: list[str], items: Items) -> list[tuple[int, int, int, int, i
     points = _points(joined)
     begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
     hits_p, hits_g = [], []
-    step = 1 << 21
+    step = 1 << 18
     for a in range(0, max(1, len(points) - items.q + 1), step):
         codes = _codes(points[a : a + step + items.q - 1], items.q)
         p = np.flatnonzero(items.table[(codes >> np.uint64(64 - BITS)).astype(np.int64)])
@@ -221,7 +223,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
             items = Items(shared.value)
             for batch in batches:
                 ids = batch.column(0).to_pylist()
-                found = [(ids[d], *rest) for d, *rest in search_texts(batch.column(1).to_pylist(), items)]
+                found = [(ids[d], *rest) for d, *rest in search_texts(batch.column(1), items)]
                 cols = list(zip(*found)) or [()] * 5
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "item_id", "edits", "start", "end"])
@@ -235,18 +237,19 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block_c
     """The documents that hold no benchmark item, with all their columns, without a shuffle."""
     spark = docs.sparkSession
     for block in _blocks(benchmark, block_chars):
-        docs = docs.where(~_holder(spark.sparkContext.broadcast(block))(F.col(text_col)))
+        docs = docs.mapInArrow(_cleaner(spark.sparkContext.broadcast(block), docs.columns.index(text_col)), docs.schema)
     return docs
 
 
-def _holder(shared):
-    @F.pandas_udf("boolean")
-    def holds(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _cleaner(shared, at: int):
+    def clean(batches):
+        import pyarrow as pa
+
         items = Items(shared.value)
-        for some in parts:
-            held = np.zeros(len(some), bool)
-            for d, *_ in search_texts([t or "" for t in some], items):
-                held[d] = True
-            yield pd.Series(held)
+        for batch in batches:
+            kept = np.ones(batch.num_rows, bool)
+            for d, *_ in search_texts(batch.column(at), items):
+                kept[d] = False
+            yield batch.filter(pa.array(kept))
 
-    return holds
+    return clean

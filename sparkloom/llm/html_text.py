@@ -18,6 +18,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import values
+
 #: Elements by their part in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes".split())
@@ -225,7 +227,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            texts = [main_text(h) for h in batch.column(2).to_pylist()]
+            texts = [main_text(h) for h in values(batch.column(2))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return rows.mapInArrow(extract, "page_id long, url string, text string, n_chars long")

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import dropped, text_or_empty, written
+from .common import dropped, text_or_empty, values, written
 from .components import components
 
 #: Sets of fewer shingles than this are dealt out whole; of others, those of small hash.
@@ -50,7 +50,7 @@ def shingles(text: str, n: int) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    if len(_WORDS) > 1_000_000:
+    if len(_WORDS) > 400_000:
         _WORDS.clear()
     known, values = _WORDS.get, []
     for w in words:
@@ -110,7 +110,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            rows = [(len(s), *_name(s)) for s in (shingles(t, n) for t in batch.column(1).to_pylist())]
+            rows = [(len(s), *_name(s)) for s in (shingles(t, n) for t in values(batch.column(1)))]
             size, a, b = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["doc_id", "n", "h1", "h2"])
 
@@ -142,7 +142,7 @@ def _keys(docs: DataFrame, n: int, need: _Need) -> DataFrame:
                 owners.append(np.full(len(some), doc, np.int64))
                 spares.append(np.full(len(some), spare, np.int32))
 
-            for doc, text in zip(ids, batch.column(1).to_pylist()):
+            for doc, text in zip(ids, values(batch.column(1))):
                 s = shingles(text, n)
                 if not len(s):
                     continue
@@ -182,8 +182,8 @@ def _open(pairs: DataFrame, tiles: DataFrame, texts: DataFrame, n: int, need: _N
         tile, sets, union = None, [], None
         for batch in batches:
             found = []
-            names, queries, texts = (batch.column(i).to_pylist() for i in range(3))
-            for i, (t, q, text) in enumerate(zip(names, queries, texts)):
+            names, queries = (batch.column(i).to_pylist() for i in range(2))
+            for i, (t, q, text) in enumerate(zip(names, queries, values(batch.column(2)))):
                 if t != tile or union is None:
                     tile = t
                     sets = [(m["node"], shingles(m["text"], n)) for m in batch.column(3)[i].as_py()]

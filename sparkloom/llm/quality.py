@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import text_or_empty, values, written
 
 #: The document statistics, in order.
 STATISTICS = (
@@ -91,7 +91,7 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         import pyarrow as pa
 
         for batch in batches:
-            x = np.array([statistics(t) for t in batch.column(1).to_pylist()], float).reshape(-1, len(STATISTICS))
+            x = np.array([statistics(t) for t in values(batch.column(1))], float).reshape(-1, len(STATISTICS))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(STATISTICS)).cast(pa.list_(pa.float64())), *batch.columns[2:]], names=["doc_id", "x", *extra])
 
     return rows.mapInArrow(measure, "doc_id long, x array<double>" + "".join(f", {c} double" for c in extra))
@@ -187,9 +187,13 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_ro
     if model is None:
         return docs
 
-    @F.pandas_udf("double")
-    def scores(texts):
-        x = np.array([statistics((t or "").encode()) for t in texts], float).reshape(-1, len(STATISTICS))
-        return __import__("pandas").Series(model.scores(x))
+    at = docs.columns.index("text")
 
-    return docs.where(scores(F.col("text")) >= threshold)
+    def good(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            x = np.array([statistics((t or "").encode()) for t in values(batch.column(at))], float).reshape(-1, len(STATISTICS))
+            yield batch.filter(pa.array(model.scores(x) >= threshold))
+
+    return docs.mapInArrow(good, docs.schema)
