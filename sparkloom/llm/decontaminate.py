@@ -10,7 +10,7 @@ from .common import text_or_empty
 from .encoding import balanced
 
 #: Characters of a gram, edits allowed for each character of an item, bits of the first filter.
-Q, EDIT_RATE, BITS = 6, 0.1, 22
+Q, EDIT_RATE, BITS = 8, 0.08, 22
 #: Characters of benchmark text that one block of items, which is broadcast, may hold.
 BLOCK_CHARS = 2_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -118,6 +118,10 @@ def search_texts(column, items: Items, most: int = 1_000_000):
             yield (a + d, *rest)
 
 
+#: Added to diagonals so that none is negative; the longest item must be shorter.
+_SHIFT = 1 << 22
+
+
 def found_in(texts: list[str], items: Items) -> list[tuple[int, int, int, int, int]]:
     """(text number, item id, edits, start, end) of every item that a text holds, texts being normal.
 
@@ -147,33 +151,32 @@ def found_in(texts: list[str], items: Items) -> list[tuple[int, int, int, int, i
         p, g = np.concatenate(hits_p), np.concatenate(hits_g)
         item, place = items.item[g], items.place[g]
         doc = np.searchsorted(begins, p, "right") - 1
-        diagonal = p - place + (1 << 20)
-        width = items.step[item]
-        pairs = []
-        for shift in (0, 1):  # band b holds diagonals from b to b + 2 steps
-            band = diagonal // width - shift
-            key = np.stack([doc, item, band], 1)
-            pairs.append(key)
-        keys = np.concatenate(pairs)
-        order = np.lexsort(keys.T[::-1])
-        keys, places = keys[order], np.concatenate([place, place])[order]
-        change = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
-        counts = np.diff(np.append(change, len(keys)))
+        # One number for each text, item and cell of diagonals; two neighbouring cells are a band.
+        cell = (p - begins[doc] - place + _SHIFT) // items.step[item]
+        key = ((doc * len(items.ids) + item) << 24) | cell
+        order = np.argsort(key, kind="stable")
+        key, place = key[order], place[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        counts = np.diff(np.append(first, len(key)))
+        cells = key[first]
+        after = np.append(np.where(cells[1:] == cells[:-1] + 1, counts[1:], 0), 0)
+        rows = cells >> 24
+        enough = np.flatnonzero(counts + after >= items.needs[rows % len(items.ids)])
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for at, n in zip(change.tolist(), counts.tolist()):
-            d, i, band = keys[at].tolist()
-            if n < items.needs[i] or len(np.unique(places[at : at + n])) < items.needs[i]:
-                continue
+        for c in enough.tolist():
+            d, i = divmod(int(rows[c]), len(items.ids))
             if best.get((d, i), (1,))[0] == 0:
                 continue
+            start = first[c]
+            if len(np.unique(place[start : start + counts[c] + after[c]])) < items.needs[i]:
+                continue
             k, w = int(items.edits[i]), int(items.step[i])
-            first = band * w - (1 << 20) - int(begins[d])  # the diagonals of the band, within the text
-            start = max(0, first - k)
-            region = texts[d][start : first + 2 * w + int(items.lengths[i]) + k]
-            centre = first + w - start
-            edits, a, b = distance(items.texts[i], region, k, centre, w + k + 1)
-            if edits <= k and (edits, start + a) < best.get((d, i), (k + 1,))[:2]:
-                best[d, i] = (edits, start + a, start + b)
+            low = int(cells[c] & 0xFFFFFF) * w - _SHIFT  # the least diagonal of the band
+            begin = max(0, low - k)
+            region = texts[d][begin : low + 2 * w + int(items.lengths[i]) + k]
+            edits, a, b = distance(items.texts[i], region, k, low + w - begin, w + k + 1)
+            if edits <= k and (edits, begin + a) < best.get((d, i), (k + 1,))[:2]:
+                best[d, i] = (edits, begin + a, begin + b)
         out += [(d, items.ids[i], *v) for (d, i), v in best.items()]
     for i, t in items.short:
         out += [(d, i, 0, x.find(t), x.find(t) + len(t)) for d, x in enumerate(texts) if t in x]
@@ -200,8 +203,8 @@ def _blocks(benchmark: DataFrame, block_chars: int):
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``doc_id, item_id, edits, start, end`` for every benchmark item that a text holds.
 
-    A text holds an item if a part of it is within one edit for ten characters
-    of the item, both in lower case with each run of white space as one space;
+    A text holds an item if a part of it is within eight edits for a hundred
+    characters of the item, both in lower case with each run of white space as one space;
     ``start`` and ``end`` are places in that form of the text. The items are a
     query set that meets all texts in blocks of bounded size; each text is read
     once a block and never moves. Items shorter than a gram must occur exactly.
