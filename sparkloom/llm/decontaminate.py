@@ -145,6 +145,8 @@ def found_in(texts: list[str], items: Items) -> list[tuple[int, int, int, int, i
             n = hi - lo
             real = n > 0
             p, lo, n = p[real] + a, lo[real], n[real]
+            if not len(p):
+                continue
             hits_p.append(np.repeat(p, n))
             hits_g.append(np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum()))
     if hits_p:
