@@ -26,8 +26,8 @@ from .components import components
 
 #: Sets of fewer shingles than this are dealt out whole; of others, those of small hash.
 SMALL = 128
-#: Documents in a tile of a group.
-TILE = 64
+#: Documents in a tile of a group, and queries of a tile that one task takes.
+TILE, QUERIES = 64, 4096
 
 _WORDS: dict[bytes, int] = {}
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -169,12 +169,16 @@ def _overlap(a: np.ndarray, b: np.ndarray) -> int:
 def _open(pairs: DataFrame, tiles: DataFrame, texts: DataFrame, n: int, need: _Need) -> DataFrame:
     """Links between query nodes and the members of tiles.
 
-    ``pairs``: ``q, tile``; ``tiles``: ``tile, node`` (at most ``TILE`` rows a
-    tile); ``texts``: ``node, text``. A tile's union is made once for the rows
-    of the tile that lie together.
+    ``pairs``: ``q, tile``; ``tiles``: ``tile, node`` (about ``TILE`` rows a
+    tile); ``texts``: ``node, text``. The members of a tile and its queries come
+    as one stream, members first, so a task holds one tile at a time. A tile
+    with more than ``QUERIES`` queries is dealt to several tasks.
     """
-    members = tiles.join(texts, "node").groupBy("tile").agg(F.collect_list(F.struct("node", "text")).alias("members"))
-    rows = pairs.join(texts.select(F.col("node").alias("q"), "text"), "q").join(members, "tile").select("tile", "q", "text", "members")
+    parts = pairs.groupBy("tile").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("parts"))
+    members = tiles.join(parts, "tile").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(texts, "node").select("tile", "part", F.lit(0).alias("kind"), "node", "text")
+    dealt = pairs.join(parts, "tile").select("tile", F.pmod(F.xxhash64("q"), F.col("parts")).cast("int").alias("part"), F.col("q").alias("node"))
+    queries = dealt.join(texts, "node").select("tile", "part", F.lit(1).alias("kind"), "node", "text")
+    stream = members.unionByName(queries).repartition("tile", "part").sortWithinPartitions("tile", "part", "kind", "node")
 
     def compare(batches):
         import pyarrow as pa
@@ -182,24 +186,27 @@ def _open(pairs: DataFrame, tiles: DataFrame, texts: DataFrame, n: int, need: _N
         tile, sets, union = None, [], None
         for batch in batches:
             found = []
-            names, queries = (batch.column(i).to_pylist() for i in range(2))
-            for i, (t, q, text) in enumerate(zip(names, queries, values(batch.column(2)))):
-                if t != tile or union is None:
-                    tile = t
-                    sets = [(m["node"], shingles(m["text"], n)) for m in batch.column(3)[i].as_py()]
-                    union = sets[0][1] if len(sets) == 1 else np.unique(np.concatenate([s for _, s in sets]))
+            places = zip(*(batch.column(i).to_pylist() for i in range(4)))
+            for (t, part, kind, node), text in zip(places, values(batch.column(4))):
+                if (t, part) != tile:
+                    tile, sets, union = (t, part), [], None
                 s = shingles(text, n)
+                if kind == 0:
+                    sets.append((node, s))
+                    continue
+                if union is None:
+                    union = np.unique(np.concatenate([x for _, x in sets])) if sets else np.empty(0, np.uint64)
                 least = need.least(len(s))
                 if _overlap(s, union) < least:
                     continue
-                for node, other in sets:
-                    if node != q and least <= len(other) and need.least(len(other)) <= len(s) and need.linked(_overlap(s, other), len(s), len(other)):
-                        found.append((q, node))
+                for other, x in sets:
+                    if other != node and least <= len(x) and need.least(len(x)) <= len(s) and need.linked(_overlap(s, x), len(s), len(x)):
+                        found.append((node, other))
             if found:
                 a, b = zip(*found)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.mapInArrow(compare, "a long, b long")
+    return stream.mapInArrow(compare, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -242,7 +249,8 @@ def jaccard_components(docs: DataFrame, n: int = 4, num: int = 85, den: int = 10
     by_node = prefix.join(member, "doc_id").groupBy("key", "node").agg(F.min("n").alias("n"), F.max(F.col("n") - place + 1).alias("left"))
     prefixes = written(by_node, "prefixes")
     pivot = F.struct("node", "n", "left")
-    shared = prefixes.groupBy("key").agg(F.count("*").alias("c"), F.min_by(pivot, "node").alias("p")).where("c > 1")
+    # The document with fewest rarer shingles before a key is nearest to what all that share it have in common.
+    shared = prefixes.groupBy("key").agg(F.count("*").alias("c"), F.min_by(pivot, F.struct(F.col("n") - F.col("left"), F.col("node"))).alias("p")).where("c > 1")
     buckets = written(prefixes.join(shared, "key").select("key", "node", "n", "left", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.left").alias("pivot_left")), "buckets")
     # Of the first key that two linked sets share, at least their common shingles are left in both.
     fits = (need.common(F.col("n"), F.col("pivot_n")) <= F.least("left", "pivot_left")) & (F.col("node") != F.col("pivot"))
