@@ -7,20 +7,44 @@ from pyspark.sql import functions as F
 
 from .common import text_or_empty, written
 
-#: Samples of a signature, and words of a chunk on average.
-SAMPLES, CHUNK = 64, 8
-_BREAK = "\x01"
+#: Samples of a signature, and words of a shingle.
+SAMPLES, SHINGLE = 64, 5
+_SPACES = r"\x20\t\n\x0B\f\r"
 
 
-def chunks(text: Column) -> Column:
-    """The terms of a text: runs of words that content itself cuts.
+def word_hashes(text: Column) -> Column:
+    """The hashes of the words of a text in their order; none if it has no words."""
+    bare = F.regexp_replace(text, rf"^[{_SPACES}]+|[{_SPACES}]+\z", "")
+    return F.when(bare == "", F.array().cast("array<bigint>")).otherwise(F.transform(F.split(bare, rf"[{_SPACES}]+"), lambda w: F.xxhash64(w)))
 
-    A chunk ends after each word whose hash is divisible by ``CHUNK``, so an
-    edit changes the chunks it touches and no others, wherever it is.
+
+def shingles(words: Column) -> Column:
+    """The hashes of every run of ``SHINGLE`` words, overlapping; a shorter text is one run."""
+    n = F.greatest(F.size(words) - (SHINGLE - 1), F.lit(1))
+    runs = F.arrays_zip(*[F.slice(words, i + 1, n).alias(f"w{i}") for i in range(SHINGLE)])
+    return F.transform(runs, lambda run: F.xxhash64(*[run[f"w{i}"] for i in range(SHINGLE)]))
+
+
+def weighted(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, which, term, w``: how often each shingle occurs in ``text`` (which 0) and ``edited`` (1).
+
+    What occurs as often in both is one row, with which 2. The marks of a row
+    are a shingle's hash and the text it is from; sorted, those of one shingle
+    follow each other, and the places where a run of equal marks ends give counts.
     """
-    words = F.split(F.translate(text, _BREAK, " "), r"[\x20\x09-\x0D]+")
-    marked = F.transform(words, lambda w: F.when(F.pmod(F.xxhash64(w), F.lit(CHUNK)) == 0, F.concat(w, F.lit(_BREAK))).otherwise(w))
-    return F.split(F.array_join(marked, " "), f" ?{_BREAK} ?")
+    words = texts.select(*keys, word_hashes(F.col("text")).alias("own"), word_hashes(F.col("edited")).alias("other"))
+    marked = lambda c, bit: F.transform(shingles(F.col(c)), lambda h: F.shiftleft(h, 1).bitwiseOR(F.lit(bit).cast("long")))
+    rows = words.select(*keys, F.sort_array(F.concat(marked("own", 0), marked("other", 1))).alias("mark")).where(F.size("mark") > 0)
+    places = F.arrays_zip("mark", F.slice("mark", 2, F.size("mark")).alias("after"), F.sequence(F.lit(1), F.size("mark")).alias("last"))
+    rows = rows.select(*keys, F.filter(places, lambda x: x["after"].isNull() | (x["after"] != x["mark"])).alias("ends"))
+    mark, last = F.col("ends.mark"), F.col("ends.last")
+    zero = F.array(F.lit(0))
+    near = {"me": mark, "last": last, "prior": F.concat(F.array(F.lit(0).cast("long")), mark), "start": F.concat(zero, last), "prior_start": F.concat(zero, zero, last), "next": F.slice(mark, 2, F.size(mark)), "next_last": F.slice(last, 2, F.size(last))}
+    rows = rows.select(*keys, F.inline(F.arrays_zip(*[c.alias(name) for name, c in near.items()]))).where("me is not null")
+    me, w, which = F.col("me"), F.col("last") - F.col("start"), F.col("me").bitwiseAND(F.lit(1))
+    with_next = (which == 0) & F.coalesce((F.col("next") == me.bitwiseOR(F.lit(1))) & (F.col("next_last") - F.col("last") == w), F.lit(False))
+    with_prior = (which == 1) & (F.col("start") > 0) & (F.col("prior") == me.bitwiseXOR(F.lit(1))) & (F.col("start") - F.col("prior_start") == w)
+    return rows.where(~with_prior).select(*keys, F.when(with_next, 2).otherwise(which.cast("int")).alias("which"), F.shiftrightunsigned(me, 1).alias("term"), w.alias("w"))
 
 
 def _uniform(bits: Column, shift: int, width: int) -> Column:
@@ -29,39 +53,47 @@ def _uniform(bits: Column, shift: int, width: int) -> Column:
     return (part + F.lit(0.5)) * F.lit(1.0 / (1 << width))
 
 
+def _draw(term: Column, n: int) -> Column:
+    """The ``n``-th hash of a term."""
+    return F.xxhash64(term.bitwiseXOR(F.lit((0x9E3779B97F4A7C15 * (n + 1)) & ((1 << 63) - 1))))
+
+
 def _sample(term: Column, log_weight: Column, k: int) -> Column:
     """What a term offers for sample ``k``: its key in the high bits, its identity in the low ones.
 
-    r and c are gamma(2, 1) and beta uniform, all from hashes of the term and k.
-    With t = floor(ln w / r + beta), y = exp(r (t - beta)) and a = c / (y e^r),
-    the term with the least a is the sample, and (term, t) its identity: two
-    weighted sets have the same identity with probability equal to their
-    generalised Jaccard similarity.
+    r and c are gamma(2, 1) and beta uniform, all from hashes of the term and k:
+    r is the sum of two exponential draws and beta the share of the first in it,
+    which is independent of the sum. With t = floor(ln w / r + beta),
+    y = exp(r (t - beta)) and a = c / (y e^r), the term with the least a is the
+    sample, and (term, t) its identity: two weighted sets have the same identity
+    with probability equal to their generalised Jaccard similarity. As the draws
+    are -ln of two uniform numbers, a is c times the second number times
+    exp(-r t), and t is 0 for weight 1.
     """
-    one, two = F.xxhash64(term, F.lit(2 * k)), F.xxhash64(term, F.lit(2 * k + 1))
-    r = -F.ln(_uniform(one, 0, 31) * _uniform(one, 31, 31))
-    c = -F.ln(_uniform(two, 0, 24) * _uniform(two, 24, 24))
-    beta = _uniform(two, 48, 16)
-    t = F.floor(log_weight / r + beta)
-    log_a = F.ln(c) - r * (t - beta) - r
-    key = F.least(F.greatest((log_a + 100.0) * F.lit(float(1 << 23)), F.lit(0.0)), F.lit(2147483000.0)).cast("long")
-    identity = F.xxhash64(term, t).bitwiseAND(F.lit(0xFFFFFFFF))
-    return F.shiftleft(key, 32).bitwiseOR(identity)
+    one, two = _draw(term, 2 * k), _draw(term, 2 * k + 1)
+    first, second = _uniform(one, 31, 31), _uniform(one, 0, 31)
+    c = -F.ln(_uniform(two, 0, 31) * _uniform(two, 31, 31))
+    r = -F.ln(first * second)
+    t = F.when(log_weight == 0, F.lit(0).cast("long")).otherwise(F.floor((log_weight - F.ln(first)) / r))
+    a = c * second * F.when(log_weight == 0, F.lit(1.0)).otherwise(F.exp(-r * t))
+    # The root spreads the small values, among which the least one is.
+    key = (F.sqrt(a) * F.lit(float(1 << 27))).cast("long")
+    return F.shiftleft(key, 32).bitwiseOR(F.xxhash64(term, t).bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
 def signatures(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``keys`` and ``s0`` ... of the signature of ``text``, one row for each combination of keys.
+    """``keys, which`` and ``s0`` ... of the signatures of ``text`` (which 0) and ``edited`` (1).
 
-    A term's weight is the number of its words times how often it occurs. Rows
-    without a term have none. If ``texts`` lies dealt by one of the keys, nothing
-    moves.
+    A term's weight is how often it occurs. What both have in common is sampled
+    once. Texts without a term have no row. If ``texts`` lies dealt by one of
+    the keys, nothing moves.
     """
-    terms = texts.select(*keys, F.explode(chunks(F.col("text"))).alias("chunk")).where(F.trim("chunk") != "")
-    words = F.size(F.split(F.trim("chunk"), " "))
-    weighted = terms.select(*keys, F.xxhash64("chunk").alias("term"), words.alias("w")).groupBy(*keys, "term").agg(F.sum("w").alias("w")).select(*keys, "term", F.ln(F.col("w").cast("double")).alias("lw"))
-    term, lw = F.col("term"), F.col("lw")
-    best = weighted.groupBy(*keys).agg(*[F.min(_sample(term, lw, k)).alias(f"s{k}") for k in range(samples)])
-    return best.select(*keys, *[F.col(f"s{k}").bitwiseAND(F.lit(0xFFFFFFFF)).alias(f"s{k}") for k in range(samples)])
+    names = [f"s{k}" for k in range(samples)]
+    terms = weighted(texts, keys).select(*keys, "which", "term", F.ln(F.col("w").cast("double")).alias("lw"))
+    best = terms.groupBy(*keys, "which").agg(*[F.min(_sample(F.col("term"), F.col("lw"), k)).alias(s) for k, s in enumerate(names)])
+    each = best.select(*keys, F.explode(F.when(F.col("which") == 2, F.array(F.lit(0), F.lit(1))).otherwise(F.array("which"))).alias("which"), *names)
+    best = each.groupBy(*keys, "which").agg(*[F.min(s).alias(s) for s in names])
+    return best.select(*keys, "which", *[F.col(s).bitwiseAND(F.lit(0xFFFFFFFF)).alias(s) for s in names])
 
 
 def _packed(samples: list[Column]) -> Column:
@@ -133,18 +165,16 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.col("text")
     chars = F.char_length(text)
     edited = F.concat(F.substring(text, F.lit(1), chars - F.floor(chars / 3).cast("int")), F.coalesce("head", F.lit("")))
-    both = keyed.join(heads, on, "left").select("k", "n", "doc_id", text, edited.alias("edited"))
-    pair = F.array(F.struct(F.lit(0).alias("which"), text.alias("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text")))
-    described = both.select("k", "n", F.explode(pair).alias("v"))
-    signed = signatures(described.select("k", "n", "v.which", "v.text"), ["k", "n", "which"], samples)
+    both = keyed.join(heads, on, "left").select("k", "n", text, edited.alias("edited"))
+    signed = signatures(both, ["k", "n"], samples)
     printed = signed.select("k", "n", "which", _packed([F.col(f"s{i}") for i in range(samples)]).alias("print"))
     prints = printed.groupBy("k", "n").agg(F.max(F.when(F.col("which") == 0, F.col("print"))).alias("own"), F.max(F.when(F.col("which") == 1, F.col("print"))).alias("other"))
-    facts = both.select("k", "n", "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.unhex(F.sha2(F.col("edited").cast("binary"), 256)).alias("sha"))
+    facts = both.select("k", "n", F.char_length("text").cast("long").alias("n_chars"), F.unhex(F.sha2(F.col("edited").cast("binary"), 256)).alias("sha"))
     nothing = F.unhex(F.lit(""))
     full = written(facts.join(prints, ["k", "n"], "left").withColumn("own", F.coalesce("own", nothing)).withColumn("other", F.coalesce("other", nothing)), "fingerprints", "none")
     # Only a document's own print goes to the document before it.
-    onward = order.select(no_null(F.col("next_id")).alias("k"), F.col("next_dup").alias("n"), no_null(F.col("doc_id")).alias("to_k"), F.col("dup").alias("to_n"))
-    nexts = full.select("k", "n", "own").join(onward, ["k", "n"]).select(F.col("to_k").alias("k"), F.col("to_n").alias("n"), F.col("own").alias("next"))
+    onward = order.select(no_null(F.col("next_id")).alias("k"), F.col("next_dup").alias("n"), no_null(F.col("doc_id")).alias("to_k"), F.col("dup").alias("to_n"), "doc_id")
+    nexts = full.select("k", "n", "own").join(onward, ["k", "n"]).select("doc_id", F.col("to_k").alias("k"), F.col("to_n").alias("n"), F.col("own").alias("next"))
     out = full.join(nexts, ["k", "n"])
     text_form = lambda c: F.lower(F.hex(c))
     return out.select("doc_id", "n_chars", text_form("sha").alias("edited_sha256"), text_form("own").alias("fingerprint"), text_form("other").alias("edited_fingerprint"), likeness(F.col("own"), F.col("other"), samples).alias("near_edited"), likeness(F.col("own"), F.col("next"), samples).alias("near_next"))

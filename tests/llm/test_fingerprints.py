@@ -1,4 +1,5 @@
 import hashlib
+from collections import Counter
 
 import pytest
 
@@ -66,3 +67,31 @@ def test_likeness_follows_the_edit(spark):
     got = fp.fingerprints(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sum(r.near_edited for r in got) / len(got) == pytest.approx(0.5, abs=0.06)
     assert max(r.near_next for r in got) < 0.05
+
+
+def test_terms_are_overlapping_shingles_by_occurrences(spark):
+    from pyspark.sql import functions as F
+
+    def counted(text):
+        words = text.split()
+        return Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else Counter()
+
+    texts = [(0, "a b c d e f g", "a b c d e f z"), (1, " a\tb ", "a b"), (2, "", "a b c d e"), (3, "x " * 9 + "y", "x " * 12), (4, " \n ", ""), (5, "p q r s t " * 3, "p q r s t " * 3 + "p q")]
+    got = fp.weighted(spark.createDataFrame(texts, "k int, text string, edited string"), ["k"]).groupBy("k").agg(F.sort_array(F.collect_list(F.struct("which", "w"))).alias("rows")).collect()
+    want = {}
+    for k, text, edited in texts:
+        own, other = counted(text), counted(edited)
+        rows = [(2, own[t]) if own[t] == other[t] else (i, c[t]) for i, c in enumerate((own, other)) for t in c if not (i and own[t] == other[t])]
+        if rows:
+            want[k] = sorted(rows)
+    assert {r.k: [tuple(x) for x in r.rows] for r in got} == want
+
+
+def test_text_without_a_cut_word_is_like_its_edit(spark):
+    """Words of which no hash is divisible by eight: as chunks, a text of them was one term."""
+    from pyspark.sql import functions as F
+
+    words = [r.w for r in spark.range(4000).select(F.format_string("u%d", "id").alias("w")).where("pmod(xxhash64(w), 8) != 0").orderBy("w").collect()]
+    rows = [(i, " ".join(words[i * 400 : i * 400 + 400]), "", 0, 0, 0) for i in range(8)]
+    got = fp.fingerprints(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert min(r.near_edited for r in got) > 0.25
