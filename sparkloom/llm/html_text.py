@@ -4,9 +4,10 @@ A page is parsed into a tree of elements. Elements that never hold the main
 text are left out by tag, role, class or id. For every element that is left the
 composite text density is its characters per tag, adjusted by the share of
 link characters and link tags within it and in the body. The element whose
-children's densities have the greatest sum is the core of the main text; the
-smallest density on its path to the body is the threshold, and the main text is
-the largest element on that path, below the body, which meets it.
+children's densities have the greatest sum is the core of the main text, and the
+smallest density on its path to the body is the threshold. The core is kept
+whole. Blocks beside the path are kept, each cut down in the same way, where they
+meet the threshold, with the headings before them.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "up", "inside", "out", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "up", "inside", "out", "chars", "tags", "link_chars", "link_tags", "density", "total", "best")
 
     def __init__(self, tag: str, up, out: bool = False):
         self.tag, self.up, self.out, self.inside = tag, up, out, []
@@ -153,29 +154,47 @@ def _density(x: Node, body: Node) -> float:
     return x.chars / tags * max(0.0, math.log(max(1.0, x.chars / links * tags / link_tags), max(base, 1.0 + 1e-9)))
 
 
+def _path(top: Node) -> list[Node]:
+    """From the core of ``top`` up to it. An element that holds no block is a paragraph; what holds it is the core."""
+    core = top.best
+    while core is not top and not any(isinstance(c, Node) and not c.out and c.tag not in INLINE for c in core.inside):
+        core = core.up
+    path = [core]
+    while path[-1] is not top:
+        path.append(path[-1].up)
+    return path
+
+
 def main_element(root: Node) -> Node:
+    """The body, in which all blocks that are not of the main text are now left out."""
     order = _measure(root)
     body = next((x for x in order if x.tag == "body"), root)
     for x in order:
         x.density = _density(x, body)
-        x.total = sum(c.density for c in x.inside if isinstance(c, Node) and not c.out)
-    inside = [x for x in order if x.tag not in INLINE]
-    core = max(inside, key=lambda x: x.total, default=root)
-    if not core.total:
-        return body
-    path = [core]
-    while path[-1] is not body and path[-1].up is not None:
-        path.append(path[-1].up)
-    threshold = min(x.density for x in path)
-    below = [x for x in path if x is not body and x.tag not in ("body", "html") and x.density >= threshold]
-    # Words that stand in the body itself belong to no element below it.
-    loose = any(not isinstance(c, Node) and c.strip() for c in body.inside)
-    if loose or not below:
+        inner = [c for c in x.inside if isinstance(c, Node) and not c.out]
+        x.total = sum(c.density for c in inner)
+        x.best = max([c.best for c in inner] + [x] * (x.tag not in INLINE), key=lambda c: c.total, default=x)
+    if not body.best.total:
         return body
-    top = below[-1]
-    # Parts of the text side by side: the body holds them all.
-    beside = [c for c in body.inside if isinstance(c, Node) and not c.out and c is not top and c.density >= threshold and c.chars > 2 * c.link_chars]
-    return body if beside else top
+    threshold = min(x.density for x in _path(body))
+    todo = [body]
+    while todo:
+        path = _path(todo.pop())
+        for inner, x in zip(path, path[1:]):
+            headed = False
+            for c in reversed(x.inside):
+                if not isinstance(c, Node) or c.out or c.tag in INLINE or c.tag in VOID:
+                    continue
+                if c is inner:
+                    headed = True
+                elif c.tag in HEADINGS:
+                    c.out = not headed
+                elif c.density >= threshold and c.chars > 2 * c.link_chars:
+                    headed = True
+                    todo.append(c)
+                else:
+                    headed, c.out = False, True
+    return body
 
 
 def main_text(page: str) -> str:

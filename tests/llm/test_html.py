@@ -41,3 +41,19 @@ def test_pages(spark):
     got = extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")).collect()
     assert sorted((r.page_id or 0, r.n_chars) for r in got) == [(0, 0), (1, 3), (1, 3), (2, 0), (3, 40_000 * 10 - 1)]
     assert extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+LONG = "".join(f"<p>Paragraph {i} of the article, {'with words enough to be one and some more to be long. ' * 8}</p>" for i in range(6))
+
+
+def test_threshold_leaves_out_unnamed_link_blocks_in_a_wrapper():
+    links = "<div><ul>" + "".join(f"<li><a href='/{i}'>Link {i}</a></li>" for i in range(8)) + "</ul></div>"
+    teasers = "<div>" + "".join(f"<div><a href='/{i}'>Teaser {i}</a> more</div>" for i in range(4)) + "</div>"
+    for start, end in (("<div>", "</div>"), ("", ""), ("<div><div>", "</div></div>")):
+        text = main_text(f"<body>{start}{links}<div><h1>Head</h1>{LONG}<p>Brief.</p></div>{teasers}{end}</body>")
+        assert text.startswith("Head\nParagraph 0") and text.endswith("long.\nBrief.") and text.count("\n") == 7
+
+
+def test_threshold_keeps_dense_parts_with_their_headings():
+    text = main_text(f"<body><div><h1>Head</h1><div>{LONG}</div><h2>Second</h2><div>{LONG}</div><h2>Elsewhere</h2><ul><li><a href='/'>x</a></li></ul></div></body>")
+    assert text.split("\n")[0] == "Head" and "Second\nParagraph 0" in text and "Elsewhere" not in text and text.count("Paragraph") == 12
