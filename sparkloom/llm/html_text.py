@@ -28,12 +28,18 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ITEMS = {"li": ("li", "ul ol menu dir"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select datalist")}
-NEVER = frozenset("script style noscript template iframe object embed svg canvas audio video map nav header footer aside menu form fieldset button select option input textarea label dialog head title".split())
+NEVER = frozenset("script style noscript template iframe object embed svg canvas audio video map nav header footer aside menu button select option input textarea label dialog head title".split())
 NEVER_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 NEVER_NAME = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation menu menubar header masthead footer sidebar aside breadcrumb breadcrumbs cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe signup login share sharing social related recommended comment comments reply replies respond discussion disqus widget toolbar pagination pager skip hidden".split()
 )
+#: Words of place that a name may have beside those.
+PLACES = frozenset("site main page left right top bottom box bar list links".split())
 KEPT = frozenset("html body article main".split())
+#: Elements that may wrap a whole page.
+WRAPS = frozenset("form fieldset".split())
+#: Elements that stand at the main text.
+MARKS = frozenset("article main h1".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|\Z)""", re.I)
@@ -41,10 +47,10 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "up", "inside", "out", "chars", "tags", "link_chars", "link_tags", "density", "total", "best")
+    __slots__ = ("tag", "up", "inside", "out", "named", "chars", "tags", "link_chars", "link_tags", "density", "total", "best")
 
-    def __init__(self, tag: str, up, out: bool = False):
-        self.tag, self.up, self.out, self.inside = tag, up, out, []
+    def __init__(self, tag: str, up, out: bool = False, named: bool = False):
+        self.tag, self.up, self.out, self.named, self.inside = tag, up, out, named, []
 
 
 def _left_out(tag: str, attributes: str) -> bool:
@@ -60,11 +66,49 @@ def _left_out(tag: str, attributes: str) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-        if name in ("class", "id") and tag not in KEPT and any(w in NEVER_NAME for w in re.split(r"[^a-z]+", value)):
-            return True
     return False
 
 
+def _named(tag: str, attributes: str) -> bool:
+    """If it is a form, or a whole name of its class or id says that it is not main text: ``site-footer``, but not ``no-footer``."""
+    if tag in WRAPS:
+        return True
+    if not attributes or tag in KEPT:
+        return False
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            for token in "".join(values).lower().split():
+                parts = {w for w in re.split(r"[^a-z]+", token) if w}
+                if parts & NEVER_NAME and parts <= NEVER_NAME | PLACES:
+                    return True
+    return False
+
+
+def _leave_out_named(root: Node) -> None:
+    """Leave out the named elements, but none that holds most of the text beside links and all that marks the main text."""
+    order, stack = [], [root]
+    while stack:
+        x = stack.pop()
+        if not x.out:
+            order.append(x)
+            stack += [c for c in x.inside if isinstance(c, Node)]
+    held = {}
+    for x in reversed(order):
+        chars, marks = 0, int(x.tag in MARKS)
+        for c in x.inside:
+            if not isinstance(c, Node):
+                chars += len(_SPACE.sub("", c))
+            elif not c.out:
+                chars, marks = chars + held[c][0], marks + held[c][1]
+        held[x] = (0 if x.tag == "a" else chars, marks)
+    most, marks = held[root]
+    for x in order:
+        if x.up is not None and x.up.out:
+            x.out = True
+        elif x.named and (2 * held[x][0] <= most or held[x][1] < marks):
+            x.out = True
+
+
 def parse(page: str) -> Node:
     """The tree of a page; what it does not close is closed as HTML's rules imply."""
     root = Node("html", None)
@@ -107,7 +151,7 @@ def parse(page: str) -> Node:
                 if open_[i].tag in limit or (not within and open_[i].tag not in INLINE and open_[i].tag != "p"):
                     break
         here = open_[-1]
-        new = Node(tag, here, here.out or _left_out(tag, m[3]))
+        new = Node(tag, here, here.out or _left_out(tag, m[3]), _named(tag, m[3]))
         here.inside.append(new)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]|\Z", re.I).search(page, at)
@@ -118,6 +162,7 @@ def parse(page: str) -> Node:
         elif tag not in VOID and not m[3].rstrip().endswith("/") or tag in ("p", "div", "span", "b", "a"):
             open_.append(new)
             here = new
+    _leave_out_named(root)
     return root
 
 

@@ -57,3 +57,13 @@ def test_threshold_leaves_out_unnamed_link_blocks_in_a_wrapper():
 def test_threshold_keeps_dense_parts_with_their_headings():
     text = main_text(f"<body><div><h1>Head</h1><div>{LONG}</div><h2>Second</h2><div>{LONG}</div><h2>Elsewhere</h2><ul><li><a href='/'>x</a></li></ul></div></body>")
     assert text.split("\n")[0] == "Head" and "Second\nParagraph 0" in text and "Elsewhere" not in text and text.count("Paragraph") == 12
+
+
+@pytest.mark.parametrize("start", ["div class='content with-sidebar'", "div class='has-sidebar'", "div id='no-comments'", "div class='nav-open'", "div class='post share-enabled'", "form action='/page.aspx'", "div class='modal'"])
+def test_wrappers_are_not_left_out(start):
+    page = f"<body><{start}><div class='site-header'>Name of the site</div><div><h1>Title here</h1>{BODY}</div><form><p>Your mail</p></form></{start.split()[0]}></body>"
+    assert main_text(page) == WANT
+
+
+def test_long_comments_are_left_out():
+    assert main_text(f"<body><article><h1>Title here</h1>{BODY}</article><div class='comments'>{LONG}</div></body>") == WANT
