@@ -67,7 +67,7 @@ def bands(least: int, window: int, miss: float = MISS) -> int:
     return max(8, math.ceil(math.log(miss) / math.log(1 - alike)))
 
 
-def license_matches(docs: DataFrame, templates=TEMPLATES, containment: float = CONTAINMENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def license_matches(docs: DataFrame, templates=TEMPLATES, containment: float = CONTAINMENT, id_col: str = "doc_id", text_col: str = "text", resolve: bool = False) -> DataFrame:
     """``doc_id, template, license, position, containment, windows`` for each template a text holds.
 
     For templates of about the same length, windows of three times the longest
@@ -81,6 +81,10 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, containment: float = C
     without any shingle of any template meets no band, so bands are made only
     for the others; this changes no result.
 
+    With ``resolve`` a window does not match a template if all that it and its
+    surroundings hold of it is part of another template of which they hold a
+    greater share; ties stay.
+
     Null or empty text, or one without a shingle: no row. Null ids: rows with a
     null id. Repeated rows count as one. Empty table or no templates: no rows.
     Other columns are ignored.
@@ -104,7 +108,9 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, containment: float = C
         window = 3 * longest
         count = bands(math.ceil(containment * shortest), window + shortest)
         starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("s")), F.lit(longest))
-        cut = rows.select("doc_id", F.explode(F.transform(starts, lambda i: F.struct(i.alias("position"), F.array_distinct(F.slice("s", i, window)).alias("w")))).alias("c")).select("doc_id", "c.*")
+        # The surroundings: a statement that the window's edge cuts lies within them.
+        around = lambda i: [F.slice("s", F.greatest(F.lit(1), i - longest), window + 2 * longest).alias("wide")] if resolve else []
+        cut = rows.select("doc_id", F.explode(F.transform(starts, lambda i: F.struct(i.alias("position"), F.array_distinct(F.slice("s", i, window)).alias("w"), *around(i)))).alias("c")).select("doc_id", "c.*")
         mine = F.array(*[F.lit(h) for h in sorted({h for t in some for h in t["shingles"]})])
         cut = cut.where(F.arrays_overlap("w", mine))
 
@@ -114,8 +120,14 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, containment: float = C
         keys = lambda c: F.posexplode(signature(F.col(c))).alias("band", "value")
         table = spark.createDataFrame([(t["template"], t["license"], list(t["shingles"])) for t in some], "template int, license string, t array<long>")
         theirs = table.select("template", "license", "t", keys("t"))
-        met = cut.select("doc_id", "position", "w", keys("w")).join(F.broadcast(theirs), ["band", "value"]).select("doc_id", "position", "template", "license", (F.size(F.array_intersect("w", "t")) / F.size("t")).alias("share"))
-        right = met.where(F.col("share") >= containment).groupBy("doc_id", "template", "license", "position").agg(F.max("share").alias("share"))
+        more = ["t", "wide"] if resolve else []
+        met = cut.select("doc_id", "position", "w", *more[1:], keys("w")).join(F.broadcast(theirs), ["band", "value"]).select("doc_id", "position", "template", "license", *more, (F.size(F.array_intersect("w", "t")) / F.size("t")).alias("share"))
+        met = met.where(F.col("share") >= containment)
+        if resolve:
+            others = F.array(*[F.array(*[F.lit(h) for h in t["shingles"]]) for t in known])
+            held, share = F.array_intersect("wide", "t"), lambda t: F.size(F.array_intersect("wide", t)) / F.size(t)
+            met = met.where(~F.exists(others, lambda o: (share(o) > share(F.col("t"))) & (F.size(F.array_except(held, o)) == 0)))
+        right = met.groupBy("doc_id", "template", "license", "position").agg(F.max("share").alias("share"))
         part = right.groupBy("doc_id", "template", "license").agg(F.min("position").alias("position"), F.max("share").alias("containment"), F.count("*").alias("windows"))
         out = part if out is None else out.unionByName(part)
     return out

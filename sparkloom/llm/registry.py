@@ -14,7 +14,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.license_matches(table(spark, sf_dir, "documents"))
+    return licenses.license_matches(table(spark, sf_dir, "documents"), resolve=True)
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

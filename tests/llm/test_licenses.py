@@ -62,3 +62,16 @@ def test_no_python_in_the_plan(spark, capsys):
     licenses.license_matches(spark.createDataFrame([(1, "x", "", 0, 0)], SCHEMA)).explain("extended")
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_templates_are_told_apart(spark):
+    filler = " ".join(f"word{i}" for i in range(60))
+    texts = [t for _, t in licenses.TEMPLATES]
+    rows = [(i * 100 + n, " ".join(filler.split()[:n]) + " " + t + " " + filler, "", 0, 0) for i, t in enumerate(texts) for n in (0, 11, 20, 31)]
+    rows += [(5000, texts[4] + " " + texts[5], "", 0, 0), (5001, "This work is licensed under the GNU General Public License.", "", 0, 0)]
+    got = {}
+    for r in licenses.license_matches(spark.createDataFrame(rows, SCHEMA), resolve=True).collect():
+        got.setdefault(r.doc_id, set()).add(r.template)
+    assert got.pop(5000) == {4, 5}
+    assert got.pop(5001) >= {4, 5}
+    assert got == {i * 100 + n: {i} for i in range(len(texts)) for n in (0, 11, 20, 31)}
