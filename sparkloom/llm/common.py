@@ -56,6 +56,12 @@ def dropped(df: DataFrame) -> None:
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def fresh(df: DataFrame, n: int) -> list[str]:
+    """Names that no column of ``df`` has, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    return [next(x for x in (f"__{i}_{k}" for k in range(len(taken) + 1)) if x not in taken) for i in range(n)]
+
+
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 

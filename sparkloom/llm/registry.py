@@ -34,7 +34,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), links=True)
 
 
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,13 +87,99 @@ def test_odd_rows(spark):
 
 
 def test_one_of_each(spark):
-    rows = corpus(7, 120) + [(None, "free", "x", 1, 2), (3, "another text of id three", "x", 1, 2)]
-    df = spark.createDataFrame(rows, SCHEMA)
+    """A text that only shares its id with another is a document of its own here."""
+    rows = corpus(7, 120) + [(None, "free", "x", 1, 2), (3, "another text of id three", "x", 1, 2), (5, "twice", "x", 1, 2), (5, "twice", "x", 1, 2)]
+    clashing = "doc_id long, text string, __0_0 string, c int, `__1_0` int"
+    df = spark.createDataFrame([(*r[:2], f"mark {r[0]}", *r[3:]) for r in rows], clashing)
     out = jaccard.one_of_each(df)
     assert out.columns == df.columns
-    want = {c for _, _, c in brute(rows, 5, 4, 5) if c is not None}
-    assert sorted(r.doc_id for r in out.collect() if r.doc_id is not None) == sorted(want)
+    named = sorted((r for r in rows if r[0] is not None), key=lambda r: r[0])
+    stays = {c for _, _, c in brute([(k, r[1]) for k, r in enumerate(named)], 5, 4, 5)}
+    got = out.collect()
+    assert sorted((r.doc_id, r.text) for r in got if r.doc_id is not None) == sorted(named[k][:2] for k in stays)
     assert out.where("doc_id is null").count() == 1
+    assert all(r["__0_0"] == f"mark {r.doc_id}" and (r.c, r["__1_0"]) == (1, 2) for r in got)
+
+
+def counted(rows, n, num, den):
+    sets = [(i, sets_of(t, n)) for i, t, *_ in rows]
+    linked = lambda a, b: a and b and den * len(a & b) >= num * (len(a) + len(b) - len(a & b))
+    return sorted(((i, sum(1 for q, (j, b) in enumerate(sets) if q != p and j is not None and linked(a, b)) if i is not None else 0) for p, (i, a) in enumerate(sets)), key=str)
+
+
+def test_number_of_links(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE", 4)
+    rows = corpus(11) + [(None, "w1 w2 w3 w4", "x", 1, 2), (7, "w1 w2 w3 w4", "x", 1, 2), (700, "w1 w2 w3 w4", "x", 1, 2)]
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, SCHEMA).repartition(3), links=True).collect()
+    assert sorted((tuple(r)[:3] for r in got), key=str) == brute(rows, 4, 85, 100)
+    assert sorted(((r.doc_id, r.n_links) for r in got), key=str) == counted(rows, 4, 85, 100)
+
+
+def test_common_line_copies_and_near_copies(spark, monkeypatch):
+    """A line that all texts hold, a large group of copies and one of near copies that are not all linked."""
+    monkeypatch.setattr(jaccard, "TILE", 8)
+    rng = random.Random(3)
+    word = lambda: f"v{rng.randrange(4000)}"
+    line, base = [word() for _ in range(14)], [word() for _ in range(120)]
+    texts = [line + [word() for _ in range(rng.choice([3, 20, 60]))] for _ in range(150)] + [base] * 80
+    for _ in range(120):
+        t = list(base)
+        for _ in range(rng.choice([1, 2, 4, 5])):
+            t[rng.randrange(len(t))] = word()
+        texts.append(line + t)
+    rng.shuffle(texts)
+    rows = [(i, " ".join(t), "", 0, 0) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    got = jaccard.jaccard_components(df, links=True).collect()
+    want = brute(rows, 4, 85, 100)
+    assert sorted((tuple(r)[:3] for r in got), key=str) == want
+    assert sorted(((r.doc_id, r.n_links) for r in got), key=str) == counted(rows, 4, 85, 100)
+    assert sorted(map(tuple, jaccard.jaccard_components(df).collect()), key=str) == want
+
+
+@pytest.mark.parametrize("num,den", [(85, 100), (4, 5), (1, 2), (99, 100)])
+def test_linked_sets_keep_a_common_key_whatever_is_left_out(num, den):
+    """Pairs just at the threshold; of each side the keys that it may leave out go, by the same random order."""
+    import numpy as np
+
+    need, rng = jaccard._Need(num, den), np.random.default_rng(num)
+    tried = 0
+    for _ in range(3000):
+        a = int(np.exp(rng.uniform(0, 7)))
+        s = rng.integers(0, 1 << 64, a, dtype=np.uint64)
+        b = int(rng.integers(a, need.largest(a) + 1))
+        common = -(-num * (a + b) // (num + den))
+        if common > a or b == a == common:
+            continue
+        tried += 1
+        x, y = np.unique(s), np.unique(np.concatenate([s[:common], rng.integers(0, 1 << 64, b - common, dtype=np.uint64)]))
+        seed, kept = np.uint64(rng.integers(1 << 62) * 2 + 1), []
+        for z in (x, y):
+            keys, drops = need.keys(z, jaccard._sums(z))
+            own = set()
+            for i in range(3):
+                slot = drops >> 21 * i & (1 << 21) - 1
+                mine = [k for k in keys.tolist() if k % 8 == slot % 8]
+                mine.sort(key=lambda k: k * int(seed) % (1 << 64))
+                own |= set(mine[: len(mine) - (slot >> 3)])
+            kept.append(own)
+        assert kept[0] & kept[1], (a, b, common)
+    assert tried > 500
+
+
+def test_shingles_of_long_words_and_segments(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from sparkloom.llm import shingling
+
+    texts = ["A b\tc  D", "", None, "x" * 9000 + " y " + "z " * 5000 + "w" * 5000, "\x1cone é É", "a b c d"]
+    whole = [s.tolist() for s in shingling.shingle_sets(pa.array(texts), 2)]
+    assert [len(s) for s in whole] == [len(sets_of(t, 2)) for t in texts]
+    monkeypatch.setattr(shingling, "SEGMENT", 64)
+    assert [s.tolist() for s in shingling.shingle_sets(pa.array(["skip", *texts])[1:], 2, 100)] == whole
+    assert whole[0] == whole[5][: len(whole[0])] or set(whole[0]) == set(whole[5])
+    assert shingling.overlap(np.array(whole[0], np.uint64), np.array(whole[5], np.uint64)) == 3
 
 
 def test_components(spark):
