@@ -33,10 +33,10 @@ def cache_key(*parts: Column | str) -> Column:
 
 def normal_route(path: Column | str) -> Column:
     """Parametric, numeric and UUID segments become ``{*}``, in this order; no trailing slash."""
-    out = F.regexp_replace(path, r"\{[^}]*\}", "{*}")
-    out = F.regexp_replace(out, r":[A-Za-z_][A-Za-z0-9_]*", "{*}")
-    out = F.regexp_replace(out, r"/[0-9]+(?=/|$)", "/{*}")
-    out = F.regexp_replace(out, r"(?i)/[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}(?=/|$)", "/{*}")
+    out = F.regexp_replace(path, r"\{[^/}]+\}", "{*}")
+    out = F.regexp_replace(out, r"(?<=/):[A-Za-z_][A-Za-z0-9_]*", "{*}")
+    out = F.regexp_replace(out, r"(?<=/)[0-9]+(?=/|$)", "{*}")
+    out = F.regexp_replace(out, r"(?i)(?<=/)[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}(?=/|$)", "{*}")
     return F.when(out.isin("", "/"), "/").otherwise(F.regexp_replace(out, r"/+$", ""))
 
 
@@ -64,4 +64,4 @@ def plural(name: Column) -> Column:
 def human(name: Column | str) -> Column:
     """Words of a snake or camel name, each with a capital first letter and the rest in lower case."""
     words = F.filter(F.split(F.regexp_replace(snake(name), r"[_\s]+", " "), " "), lambda w: w != "")
-    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 10_000))), " ")
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2)))), " ")

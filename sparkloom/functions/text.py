@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 #: Fixed value: words that are never keywords.
-STOPWORDS = ("the", "and", "for", "with", "that", "this", "from", "are", "was", "were", "has", "have", "had", "not", "but", "all", "any", "can", "its", "into", "onto", "over", "under", "when", "where", "which", "who", "how", "what", "why", "will", "shall", "should")
+STOPWORDS = tuple("the and for that this with are from how what does can should will all its get set use let via per any one two has had not but been each into was".split())
 
 
 def keywords(text: Column) -> Column:
@@ -56,8 +56,8 @@ def snippet(text: Column, needle: Column, around: int = 80) -> Column:
 
 
 def fuzzy_contains(needle: Column, hay: Column, ratio: float = 0.75) -> Column:
-    """The needle, or at least ``ratio`` of its words, as substrings of the hay, in lower case."""
-    words = F.filter(F.split(F.lower(needle), r"[^a-z0-9]+"), lambda w: w != "")
+    """The needle, or at least ``ratio`` of its words of three characters or more, as substrings of the hay, in lower case."""
+    words = F.filter(F.split(F.lower(needle), r"[^a-z0-9_]+"), lambda w: F.length(w) > 2)
     held = F.size(F.filter(words, lambda w: F.contains(F.lower(hay), w)))
     return F.contains(F.lower(hay), F.lower(needle)) | ((F.size(words) > 0) & (held >= ratio * F.size(words)))
 
@@ -82,6 +82,37 @@ def sql_fields(sql: Column) -> Column:
     return F.transform(F.split(names, ","), lambda c: F.trim(c))
 
 
+def section_lines(docs, keep: list[str], kinds: dict[str, str], text: str = "text"):
+    """``keep, kind, ord, item``: list items below the last heading that has a word of a kind.
+
+    The first kind whose expression meets the heading counts; a heading that
+    meets none ends the section. Bullets and numbers are cut off.
+    """
+    lines = docs.select(*keep, F.posexplode(F.split(text, "\n")).alias("ord", "line"))
+    heading = F.col("line").rlike(r"^#{1,6}\s")
+    kind = None
+    for name, pattern in kinds.items():
+        hit = F.lower("line").rlike(pattern)
+        kind = F.when(hit, name) if kind is None else kind.when(hit, name)
+    running = Window.partitionBy(*keep).orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
+    marked = lines.withColumn("kind", F.last(F.when(heading, kind.otherwise("")), True).over(running))
+    item = F.trim(F.regexp_replace("line", r"^\s*([-*+]|[0-9]+[.)])\s+", ""))
+    return marked.where(~heading & F.col("line").rlike(r"^\s*([-*+]|[0-9]+[.)])\s+") & (F.col("kind") != "")).select(*keep, "kind", "ord", item.alias("item"))
+
+
+def term_covered(term: Column, text: Column, least: int = 4) -> Column:
+    """The whole term, or any of its words of ``least`` characters, is part of the text, in lower case."""
+    words = F.filter(F.split(F.lower(term), r"[^a-z0-9]+"), lambda w: F.length(w) >= least)
+    return F.contains(F.lower(text), F.lower(term)) | F.exists(words, lambda w: F.contains(F.lower(text), w))
+
+
+def bounded_sections(text: Column, most: int) -> Column:
+    """Sections at second-level headings; longer ones are cut at third-level headings, and then to ``most`` characters."""
+    parts = F.flatten(F.transform(sections(text), lambda s: F.when(F.length(s) <= most, F.array(s)).otherwise(F.filter(F.split(s, r"(?m)(?=^### )"), lambda p: F.trim(p) != ""))))
+    cut = lambda p: F.transform(F.sequence(F.lit(0), F.floor((F.length(p) - 1) / most).cast("int")), lambda i: F.substring(p, i * most + 1, F.lit(most)))
+    return F.flatten(F.transform(parts, cut))
+
+
 def within(order: Column, *ranges) -> Column:
     """Status by thresholds given best first: ``within(x, (0.85, 'pass'), (0.25, 'warn'), 'fail')``."""
     *steps, last = ranges

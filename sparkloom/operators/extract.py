@@ -10,12 +10,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Extensions by language and weighted signals of a language.
-LANGUAGES = {"php": "php", "ts": "typescript", "tsx": "typescript", "js": "javascript", "jsx": "javascript", "java": "java", "kt": "kotlin"}
-#: Files that tell a framework, in order of precedence.
-FRAMEWORKS = (("artisan", "laravel"), ("bin/console", "symfony"), ("wp-config.php", "wordpress"), ("next.config.js", "nextjs"), ("nest-cli.json", "nestjs"), ("pom.xml", "spring"))
-#: Verbs of a resource route and of an API resource route.
-RESOURCE = (("index", "GET", ""), ("create", "GET", "/create"), ("store", "POST", ""), ("show", "GET", "/{id}"), ("edit", "GET", "/{id}/edit"), ("update", "PUT", "/{id}"), ("destroy", "DELETE", "/{id}"))
+#: Extensions by language, with the most files that count for it.
+LANGUAGES = (("php", ("php",), 20), ("typescript", ("ts", "tsx"), 20), ("javascript", ("js", "jsx"), 10), ("java", ("java",), 20), ("kotlin", ("kt",), 20))
+#: Files at the root that each add three votes, and folders that are not counted.
+MANIFESTS = (
+    ("php", ("composer.json", "artisan", "bin/console", "wp-config.php", "system/core/CodeIgniter.php")),
+    ("typescript", ("tsconfig.json", "tsconfig.base.json", "tsconfig.app.json")),
+    ("java", ("pom.xml", "build.gradle", "build.gradle.kts", "gradlew")),
+)
+SKIPPED = ("vendor", "node_modules", ".git", "dist", "build", "target")
+#: Signs of a framework by family of languages, in order; after the colon what the file must hold.
+FRAMEWORKS = (
+    ("php", (("artisan", "laravel"), ("composer.json:laravel/framework", "laravel"), ("bin/console", "symfony"), ("composer.json:symfony/framework-bundle", "symfony"), ("wp-config.php", "wordpress"), ("wp-config-sample.php", "wordpress"), ("system/core/CodeIgniter.php", "codeigniter"), ("application/config/config.php", "codeigniter"))),
+    ("typescript", (("next.config.js", "nextjs"), ("next.config.mjs", "nextjs"), ("next.config.ts", "nextjs"), ("nuxt.config.ts", "nuxtjs"), ("nuxt.config.js", "nuxtjs"), ("vite.config.ts", "vue"), ("vue.config.js", "vue"), ("package.json:nuxt", "nuxtjs"), ("package.json:next", "nextjs"), ("package.json:@nestjs/core", "nestjs"), ("package.json:fastify", "fastify"), ("package.json:express", "express"), ("package.json:vue", "vue"), ("package.json:react", "react"))),
+    ("java", (("pom.xml:spring-boot", "spring-boot"), ("build.gradle:spring-boot", "spring-boot"), ("pom.xml:quarkus", "quarkus"), ("build.gradle:quarkus", "quarkus"), ("pom.xml:micronaut", "micronaut"), ("build.gradle:micronaut", "micronaut"))),
+)
+#: Verbs of a resource route; an API resource has no create and edit.
+RESOURCE = (("index", "GET", ""), ("store", "POST", ""), ("create", "GET", "/create"), ("show", "GET", "/{id}"), ("update", "PUT", "/{id}"), ("update", "PATCH", "/{id}"), ("destroy", "DELETE", "/{id}"), ("edit", "GET", "/{id}/edit"))
 
 
 def each(files: DataFrame, pattern: str, groups: dict[str, int], keep: list[str] = ("path",)) -> DataFrame:
@@ -29,18 +40,48 @@ def extension(path: Column) -> Column:
     return F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1))
 
 
-def language(files: DataFrame, most: int = 20) -> DataFrame:
-    """One row: the language with most files, each extension counted up to ``most``; ties by name."""
-    names = files.sparkSession.createDataFrame(list(LANGUAGES.items()), "ext string, language string")
-    count = files.groupBy(extension(F.col("path")).alias("ext")).agg(F.least(F.count("*"), F.lit(most)).alias("votes"))
-    return count.join(F.broadcast(names), "ext").groupBy("language").agg(F.sum("votes").alias("votes")).agg(F.min_by(F.struct("language", "votes"), F.struct(-F.col("votes"), F.col("language"))).alias("b")).select("b.*")
-
-
-def framework(files: DataFrame) -> DataFrame:
-    """One row: the first framework in order that a file tells; ``unknown`` without one."""
-    rules = files.sparkSession.createDataFrame([(i, s, n) for i, (s, n) in enumerate(FRAMEWORKS)], "priority int, sign string, framework string")
-    hit = files.select("path").join(F.broadcast(rules), F.col("path").endswith(F.col("sign")))
-    return hit.agg(F.coalesce(F.min_by("framework", "priority"), F.lit("unknown")).alias("framework"))
+def language(files: DataFrame) -> DataFrame:
+    """One row ``language, votes``: the language with most votes, ``unknown`` without any.
+
+    A manifest at the root gives three votes (package.json two for JavaScript, none
+    where there is a TypeScript manifest), files by extension up to a most for each language, Vue files
+    up to ten for TypeScript, or JavaScript if it has more. Ties go to the first listed.
+    """
+    some = files.where(~F.arrays_overlap(F.split("path", "/"), F.array(*map(F.lit, SKIPPED)))).select("path", extension(F.col("path")).alias("ext"))
+    files = files.select("path", F.lit("").alias("ext"))
+    n = {name: F.least(F.count_if(F.col("kind").eqNullSafe("file") & F.col("ext").isin(*exts)), F.lit(most)) for name, exts, most in LANGUAGES}
+    for name, signs in MANIFESTS:
+        n[name] = n[name] + 3 * F.count_distinct(F.when((F.col("kind") == "root") & F.col("path").isin(*signs), F.col("path")))
+    node = 2 * F.max(F.when((F.col("kind") == "root") & (F.col("path") == "package.json"), 1).otherwise(0))
+    typed = F.max(F.when((F.col("kind") == "root") & F.col("path").isin(*dict(MANIFESTS)["typescript"]), 1).otherwise(0))
+    n["javascript"] = n["javascript"] + F.when(typed > 0, 0).otherwise(node)
+    vue = F.least(F.count_if((F.col("kind") == "file") & (F.col("ext") == "vue")), F.lit(10))
+    counted = files.withColumn("kind", F.lit("root")).unionByName(some.withColumn("kind", F.lit("file"))).agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(k) for k, c in n.items()], F.coalesce(vue, F.lit(0)).cast("long").alias("vue"))
+    ts = F.col("typescript") >= F.col("javascript")
+    votes = {name: F.col(name) for name, _, _ in LANGUAGES} | {"typescript": F.col("typescript") + F.when(ts, F.col("vue")).otherwise(0), "javascript": F.col("javascript") + F.when(~ts, F.col("vue")).otherwise(0)}
+    best = F.greatest(*votes.values())
+    out = F.lit("unknown")
+    for name in reversed(list(votes)):
+        out = F.when((votes[name] == best) & (best > 0), name).otherwise(out)
+    return counted.select(out.alias("language"), best.alias("votes"))
+
+
+def framework(files: DataFrame, language: str) -> DataFrame:
+    """One row ``framework``: the first sign in order, a file that is there or one that holds a text; PHP without a sign is ``raw_php``, others ``unknown``."""
+    family = {"javascript": "typescript", "kotlin": "java"}.get(language, language)
+    signs = dict(FRAMEWORKS).get(family, ())
+    rules = files.sparkSession.createDataFrame([(i, *f"{sign}:".split(":")[:2], name) for i, (sign, name) in enumerate(signs)], "priority int, path string, holds string, framework string")
+    hit = files.select("path", "text").join(F.broadcast(rules), "path").where(F.contains(F.lower("text"), F.lower("holds")))
+    return hit.agg(F.coalesce(F.min_by("framework", "priority"), F.lit("raw_php" if family == "php" else "unknown")).alias("framework"))
+
+
+def by_adapter(files: DataFrame) -> DataFrame:
+    """``path, adapter``: which family of extractors reads a file; none for others."""
+    ext = extension(F.col("path"))
+    out = None
+    for name, exts, _ in LANGUAGES:
+        out = F.when(ext.isin(*exts), name) if out is None else out.when(ext.isin(*exts), name)
+    return files.select("path", out.alias("adapter")).where("adapter is not null")
 
 
 def classes(files: DataFrame) -> DataFrame:
@@ -145,10 +186,24 @@ def form_fields(files: DataFrame) -> DataFrame:
     return tags.select("path", "form", "action", "method", F.regexp_extract("tag", r"(?i)\bname\s*=\s*[\"']([^\"']*)", 1).alias("field"), F.coalesce(F.nullif(F.lower(F.regexp_extract("tag", r"(?i)\btype\s*=\s*[\"']([^\"']*)", 1)), F.lit("")), F.lower(F.regexp_extract("tag", r"^(\w+)", 1))).alias("type")).where("field <> ''")
 
 
+#: Purposes of a form by its field names, in order.
+LOGIN, PERSONAL = ("uname", "username", "email", "password", "pwd", "passwd"), ("fname", "lname", "phone", "dob", "gender")
+PURPOSES = (
+    (("cc", "dc", "doi", "dor", "carid", "distance"), "Car rental booking form — collects booking dates, car selection, and charges"),
+    (("card", "cvv", "expiry", "payment", "amount"), "Payment form — processes financial transaction"),
+    (("search", "query", "keyword", "q"), "Search form"),
+    (("address", "city", "state", "country", "zip", "postal"), "Address / shipping details form"),
+)
+
+
 def form_purpose(fields: Column) -> Column:
-    """Purpose of a form by its field names, the first rule that meets."""
-    meets = lambda *names: F.arrays_overlap(fields, F.array(*map(F.lit, names)))
-    return F.when(meets("password", "passwd") & meets("email", "username", "login"), "authentication").when(meets("card", "amount", "price", "total"), "payment").when(meets("search", "q", "query", "keyword"), "search").when(meets("file", "upload", "attachment"), "upload").otherwise("data entry")
+    """Purpose of a form by its field names, the first rule that meets; empty if none does."""
+    low = F.transform(fields, lambda f: F.lower(f))
+    meets = lambda names: F.arrays_overlap(low, F.array(*map(F.lit, names)))
+    out = F.when(meets(LOGIN) & meets(PERSONAL), "User registration form — collects personal details and creates an account").when(meets(LOGIN), "User login form — authenticates an existing user")
+    for names, purpose in PURPOSES:
+        out = out.when(meets(names), purpose)
+    return out.otherwise("")
 
 
 def endpoint_kind(signals: Column) -> Column:
@@ -209,34 +264,57 @@ def markdown_blocks(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def _loops(text: str, json_like: bool, widths=(150, 200, 300, 400), least: int = 3) -> int:
-    """Where a repeated passage begins for the second time; -1 if nothing repeats ``least`` times."""
-    for width in widths:
-        if json_like and width < 300:
-            continue
-        for at in range(0, max(0, len(text) - width * least) + 1, width // 2):
-            window = text[at : at + width]
-            if len(window) < width or not window.strip():
+    """Where a passage that occurs ``least`` times begins again; -1 if none does.
+
+    Passages begin at every half width. A passage counts if it occurs ``least`` times from its place on
+    without overlaps; the cut is where it begins next, even if that overlaps it. All places of
+    a width are hashed at once, so that the work grows with the text.
+    """
+    import numpy as np
+
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n = len(points)
+    if n < least * min(w for w in widths if w >= 300 or not json_like):
+        return -1
+    base = 0x9E3779B97F4A7C13
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, base, np.uint64)]))
+        inverse = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64)]))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((points + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F) * power[:n])])
+        for width in widths:
+            if json_like and width < 300 or n < width * least:
                 continue
-            places, start = [], 0
-            while len(places) < least and (start := text.find(window, start)) >= 0:
-                places.append(start)
-                start += width
-            if len(places) >= least:
-                return places[1]
+            here = (sums[width:] - sums[:-width]) * inverse[: n - width + 1]
+            grid = here[:: width // 2]
+            place = np.flatnonzero(np.isin(here, grid))
+            order = np.argsort(here[place], kind="stable")
+            place, value = place[order], here[place][order]
+            for i, h in enumerate(grid.tolist()):
+                at = i * (width // 2)
+                lo, hi = np.searchsorted(value, np.uint64(h), "left"), np.searchsorted(value, np.uint64(h), "right")
+                later = place[lo:hi][np.searchsorted(place[lo:hi], at) :]
+                if len(later) < least:
+                    continue
+                count, free = 0, at
+                while count < least and (k := int(np.searchsorted(later, free))) < len(later):
+                    count, free = count + 1, int(later[k]) + width
+                if count == least and text[at : at + width] == text[(cut := int(later[1])) : cut + width]:
+                    return cut
     return -1
 
 
 def without_loops(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Texts cut where a passage begins to repeat; ``cut_at`` is null where none does."""
+    """Texts cut where a passage begins to repeat, without white space at their end; ``cut_at`` is null where none does."""
 
     @F.pandas_udf("int")
     def cut(texts):
         import pandas as pd
 
-        return pd.Series([(_loops(t, t.lstrip()[:1] in "{[") if t else -1) for t in texts], dtype="int32")
+        return pd.Series([(_loops(t, t.lstrip()[:1] in ("{", "[")) if t else -1) for t in texts], dtype="int32")
 
     at = cut(F.col(text))
-    return docs.withColumn("cut_at", F.when(at >= 0, at)).withColumn(text, F.when(F.col("cut_at").isNotNull(), F.substring(F.col(text), F.lit(1), F.col("cut_at"))).otherwise(F.col(text)))
+    cut_text = F.regexp_replace(F.substr(F.col(text), F.lit(1), F.col("cut_at")), r"\s+\z", "")
+    return docs.withColumn("cut_at", F.when(at >= 0, at)).withColumn(text, F.when(F.col("cut_at").isNotNull(), cut_text).otherwise(F.col(text)))
 
 
 def sequence_ratio(a: Column, b: Column) -> Column:
@@ -261,26 +339,27 @@ def execution_paths(files: DataFrame) -> DataFrame:
 
         import pandas as pd
 
+        # Signs that open or close, and quoted strings, in which they mean nothing.
+        sign = re.compile(r"""[(){}]|"(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*'""", re.S)
+        ends = re.compile(r"\b(die|exit|redirect|abort|throw)\b|header\s*\(\s*['\"]Location")
+
+        def close(text, at, left, right):
+            """Where the bracket that is open before ``at`` is closed; the end of the text if it is not."""
+            depth = 1
+            for m in sign.finditer(text, at):
+                depth += (m[0] == left) - (m[0] == right)
+                if not depth:
+                    return m.start()
+            return len(text)
+
         for pdf in batches:
             rows = []
             for path, text in zip(pdf["path"], pdf["text"]):
                 for n, m in enumerate(re.finditer(r"\bif\s*\(", text or "")):
-                    at, depth = m.end(), 1
-                    while at < len(text) and depth:
-                        depth += {"(": 1, ")": -1}.get(text[at], 0)
-                        at += 1
-                    condition = text[m.end() : at - 1].strip()
-                    while at < len(text) and text[at].isspace():
-                        at += 1
-                    body = ""
-                    if at < len(text) and text[at] == "{":
-                        start, depth, at = at + 1, 1, at + 1
-                        while at < len(text) and depth:
-                            depth += {"{": 1, "}": -1}.get(text[at], 0)
-                            at += 1
-                        body = text[start : at - 1].strip()
-                    guard = bool(re.search(r"\b(die|exit|redirect|abort|throw)\b|header\s*\(\s*['\"]Location", body))
-                    rows.append((path, n, condition, body, guard))
+                    end = close(text, m.end(), "(", ")")
+                    brace = re.compile(r"\s*\{").match(text, end + 1)
+                    body = text[brace.end() : close(text, brace.end(), "{", "}")].strip() if brace else ""
+                    rows.append((path, n, text[m.end() : end].strip(), body, bool(ends.search(body))))
             yield pd.DataFrame(rows, columns=["path", "ord", "condition", "body", "guard"])
 
     return files.select("path", "text").mapInPandas(scan, "path string, ord int, condition string, body string, guard boolean")

@@ -15,6 +15,8 @@ def settled(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         found = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not found and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(found or "file://" + tempfile.mkdtemp(prefix="sparkloom-"))
     return df.checkpoint()
 
@@ -58,8 +60,8 @@ def typed_hops(nodes: DataFrame, edges: DataFrame, start: DataFrame, hops: list[
     return out.orderBy("id").limit(limit) if limit else out
 
 
-def reachable(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
-    """``id, depth``: nodes within ``depth`` steps along edges and their least number of steps.
+def reachable(edges: DataFrame, start: DataFrame, depth: int | None = None) -> DataFrame:
+    """``id, depth``: nodes within ``depth`` steps along edges, or any number, and their least number of steps.
 
     A level is joined once and loses what was seen before; levels are settled so
     that the plan stays short. Cycles end by themselves.
@@ -67,7 +69,9 @@ def reachable(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
     step = edges.select(F.col("source").alias("id"), F.col("target").alias("__to")).distinct()
     seen = settled(start.select("id").distinct().withColumn("depth", F.lit(0)))
     front = seen
-    for level in range(1, depth + 1):
+    level = 0
+    while depth is None or level < depth:
+        level += 1
         front = settled(front.join(step, "id").select(F.col("__to").alias("id")).distinct().join(seen, "id", "left_anti").withColumn("depth", F.lit(level)))
         seen = seen.unionByName(front)
         if front.isEmpty():
@@ -75,7 +79,7 @@ def reachable(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
     return seen
 
 
-def unreachable(nodes: DataFrame, edges: DataFrame, start: DataFrame, depth: int = 64) -> DataFrame:
+def unreachable(nodes: DataFrame, edges: DataFrame, start: DataFrame, depth: int | None = None) -> DataFrame:
     return nodes.join(reachable(edges, start, depth), "id", "left_anti")
 
 

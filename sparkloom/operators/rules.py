@@ -75,15 +75,27 @@ def schema_rules(columns: DataFrame) -> DataFrame:
     return required.unionByName(unique)
 
 
-#: Services recognised by package, environment variable or host.
-EXTERNAL = (("Stripe", "stripe"), ("PayPal", "paypal"), ("AWS S3", "s3"), ("SendGrid", "sendgrid"), ("Twilio", "twilio"), ("Slack", "slack"), ("Google", "google"), ("Firebase", "firebase"), ("Redis", "redis"))
+#: Kinds of external systems, the beginnings of environment variables and the words in names that tell them.
+EXTERNAL = (
+    ("PAYMENT", "STRIPE_ PAYPAL_ BRAINTREE_ SQUARE_ RAZORPAY_ MOLLIE_ ADYEN_ CHECKOUT_", "stripe paypal braintree razorpay mollie adyen checkout payment.gateway payu"),
+    ("EMAIL", "MAIL_ MAILGUN_ SENDGRID_ SES_ POSTMARK_ SPARKPOST_ MAILCHIMP_ SMTP_", "mailgun sendgrid postmark sparkpost mailchimp aws.ses smtp.mailer"),
+    ("STORAGE", "AWS_ S3_ GCS_ AZURE_ DO_SPACES_ MINIO_ BACKBLAZE_ CLOUDINARY_", "s3bucket awss3 gcs azureblob cloudinary imagekit imgix digitalocean.spaces"),
+    ("SMS_PUSH", "TWILIO_ VONAGE_ NEXMO_ PUSHER_ FIREBASE_ ONE_SIGNAL_ ONESIGNAL_ TELEGRAM_ SLACK_", "twilio vonage nexmo pusher firebase onesignal telegram.bot slack.webhook"),
+    ("AUTH_OAUTH", "GOOGLE_ FACEBOOK_ GITHUB_ TWITTER_ AUTH0_ OKTA_ KEYCLOAK_ SOCIALITE_ OAUTH_ LDAP_", "google.oauth facebook.login auth0 okta keycloak socialite passport ldap"),
+    ("MONITORING", "SENTRY_ BUGSNAG_ ROLLBAR_ DATADOG_ NEWRELIC_ LOGROCKET_ RAYGUN_", "sentry bugsnag rollbar datadog newrelic logrocket raygun"),
+    ("CRM", "SALESFORCE_ HUBSPOT_ ZOHO_ PIPEDRIVE_ FRESHDESK_ ZENDESK_ INTERCOM_", "salesforce hubspot zoho pipedrive freshdesk zendesk intercom"),
+    ("ERP", "QUICKBOOKS_ XERO_ SAGE_ FRESHBOOKS_ NETSUITE_ SAP_", "quickbooks xero sage freshbooks netsuite"),
+    ("INFRA", "REDIS_ MEMCACHED_ RABBITMQ_ KAFKA_ ELASTIC_ ELASTICSEARCH_ MONGO_ MONGODB_", "redis memcached rabbitmq kafka elasticsearch mongodb"),
+)
 
 
 def external_systems(facts: DataFrame, channel: str = "channel", value: str = "value") -> DataFrame:
-    """Systems whose signature is part of a value, with the channels that show them."""
-    table = facts.sparkSession.createDataFrame(list(EXTERNAL), "system string, signature string")
-    hit = facts.join(F.broadcast(table), F.contains(F.lower(value), F.col("signature")))
-    return hit.groupBy("system").agg(F.array_join(F.array_sort(F.collect_set(channel)), ",").alias("channels"), F.count("*").alias("hits"))
+    """``category, channels, hits``: kinds of systems told by ``env_var`` (begins with), ``class_name`` and ``service_dep`` (holds) facts."""
+    rows = [(c, k, s) for c, env, words in EXTERNAL for k, some in (("env_var", env), ("class_name", words), ("service_dep", words)) for s in some.split()]
+    signs = facts.sparkSession.createDataFrame(rows, "category string, kind string, sign string")  # a short fixed list
+    meets = F.when(F.col("kind") == "env_var", F.startswith(F.upper(value), F.col("sign"))).otherwise(F.contains(F.lower(value), F.col("sign")))
+    hit = facts.join(F.broadcast(signs), (F.col(channel) == F.col("kind")) & meets)
+    return hit.groupBy("category").agg(F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("channels"), F.count_distinct(channel, value).alias("hits"))
 
 
 def gaps(items: DataFrame, group: str, hit: str) -> DataFrame:
@@ -91,8 +103,15 @@ def gaps(items: DataFrame, group: str, hit: str) -> DataFrame:
     return items.groupBy(group).agg(F.max(hit).alias("h"), F.count("*").alias("items")).where(~F.col("h")).drop("h")
 
 
-def actor(role: Column, auth: Column) -> Column:
-    return ladder([(F.lower(role).rlike("admin|manage"), "Administrator"), (F.lower(role).rlike("api|webhook|cron|queue"), "System"), (auth, "Authenticated User")], "Guest")
+def actor(path: Column, symbol: Column, auths: Column) -> Column:
+    """Who acts, by the route or symbol and by the kinds of authorisation seen (an array)."""
+    has = lambda *kinds: F.arrays_overlap(auths, F.array(*map(F.lit, kinds)))
+    place = F.lower(F.concat_ws(" ", path, symbol))
+    return ladder([
+        (place.rlike(r"[/._-](admin|backend|staff|manager|superuser)"), "Admin"),
+        (has("api_token", "jwt", "oauth_token") & ~has("session_check", "get_user"), "API Client"),
+        (F.size(auths) > 0, "Authenticated User"),
+    ], "Guest")
 
 
 def rank_rules(rules: DataFrame, order: list) -> DataFrame:

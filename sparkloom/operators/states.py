@@ -8,10 +8,16 @@ from pyspark.sql import functions as F
 from .graph import reachable
 
 
+#: Texts that are never states.
+NOISE = tuple("null none true false yes no n/a asc desc limit offset where set and or save edit create view list search delete detail update index show new get post put patch head options upload download module action subpanel return export import".split())
+#: Words of XML schemas that are never states.
+XML_NOISE = tuple("binding body envelope header message porttype schema service operation fault part type element attribute extension restriction sequence choice complextype simpletype annotation documentation import".split())
+
+
 def noise(value: Column) -> Column:
-    """Values that are no states: stop words, numbers, UUIDs and those of two characters or fewer."""
+    """Values that are no states: listed words, whole numbers, UUIDs and those of two characters or fewer."""
     v = F.lower(F.trim(value))
-    return v.isin("null", "none", "true", "false", "yes", "no", "unknown", "default") | v.rlike(r"^-?[0-9]+(\.[0-9]+)?$") | v.rlike(r"^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$") | (F.length(v) <= 2)
+    return v.isin(*NOISE, *XML_NOISE) | v.rlike(r"^[0-9]+$") | v.rlike(r"^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$") | (F.length(v) <= 2)
 
 
 def inventory(facts: DataFrame, group: list[str], value: str, least: int = 2) -> DataFrame:
@@ -28,7 +34,7 @@ def consecutive(facts: DataFrame, partition: list[str], order: list[str], value:
     return out.withColumnRenamed(value, "to_state").where(F.col("from_state").isNotNull())
 
 
-def machine(states: DataFrame, transitions: DataFrame, depth: int = 64) -> DataFrame:
+def machine(states: DataFrame, transitions: DataFrame) -> DataFrame:
     """``state, initial, terminal, dead`` from ``states(state)`` and ``transitions(from_state, to_state)``.
 
     Initial: nothing enters from another state; terminal: nothing leaves to
@@ -39,7 +45,7 @@ def machine(states: DataFrame, transitions: DataFrame, depth: int = 64) -> DataF
     entered = moves.select(F.col("target").alias("state")).distinct().withColumn("e", F.lit(True))
     left = moves.select(F.col("source").alias("state")).distinct().withColumn("l", F.lit(True))
     flags = states.select("state").distinct().join(entered, "state", "left").join(left, "state", "left").select("state", F.col("e").isNull().alias("initial"), F.col("l").isNull().alias("terminal"))
-    live = reachable(moves, flags.where("initial").select(F.col("state").alias("id")), depth).select(F.col("id").alias("state"), F.lit(True).alias("live"))
+    live = reachable(moves, flags.where("initial").select(F.col("state").alias("id"))).select(F.col("id").alias("state"), F.lit(True).alias("live"))
     return flags.join(live, "state", "left").select("state", "initial", "terminal", F.col("live").isNull().alias("dead"))
 
 
