@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,16 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: What Python workers keep from task to task, a dictionary for each kind; workers outlive stages.
+CACHES: list[dict] = []
+
+
+def release_caches() -> None:
+    """Forget what other operators keep in this Python worker. Called first thing by tasks that need memory themselves."""
+    for cache in CACHES:
+        cache.clear()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -29,6 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         found = spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="sparkloom-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -62,6 +75,18 @@ def fresh(df: DataFrame, n: int) -> list[str]:
     return [next(x for x in (f"__{i}_{k}" for k in range(len(taken) + 1)) if x not in taken) for i in range(n)]
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000):
+    """Jobs that run within hand fewer rows at once to Python, for rows that are wide."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 

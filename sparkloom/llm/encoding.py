@@ -17,6 +17,8 @@ from array import array
 
 import numpy as np
 
+from .common import CACHES
+
 #: Two white space characters in a row (any that Python or Unicode calls so): such a text takes the careful cut.
 _RUN = r"[\s\p{Z}\x{85}\x{b}\x{1c}-\x{1f}]{2}"
 #: The careful cut: before white space that follows something else.
@@ -194,6 +196,7 @@ class Encoder:
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
+CACHES.append(_ENCODERS)
 
 
 def encoder(path: str, literal: bool = False) -> Encoder:

@@ -26,12 +26,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import dropped, fresh, text_or_empty, written
+from .common import dropped, fresh, release_caches, small_batches, text_or_empty, written
 from .components import components
 from .shingling import mixed, shingle_sets
 
 #: Nodes and shingles in a tile, and queries of a node that one task takes.
-TILE, TILE_SHINGLES, QUERIES = 128, 1 << 20, 4096
+TILE, TILE_SHINGLES, QUERIES = 512, 1 << 18, 4096
 #: Bits of a key that tell its class of sizes.
 KINDS = 3
 #: Slots of a task's own memory of keys, a power of two.
@@ -151,6 +151,7 @@ def _sets(rows: DataFrame, n: int, need: _Need) -> DataFrame:
     def make(batches):
         import pyarrow as pa
 
+        release_caches()
         seen: set[int] = set()
         held, holder = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int64)
         shift = np.uint64(64 - SLOTS.bit_length() + 1)
@@ -225,7 +226,7 @@ def _token_sets(rows: DataFrame, nodes: DataFrame, wanted: DataFrame, n: int) ->
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(list(shingle_sets(batch.column(2), n)), np.uint64)], names=["node", "w", "s"])
 
-    return written(one.mapInArrow(make, "node long, w long, s array<long>"), "token-sets")
+    return one.mapInArrow(make, "node long, w long, s array<long>")
 
 
 class _Tile:
@@ -281,6 +282,7 @@ def _open(units: DataFrame, sets: DataFrame, need: _Need, counts: bool) -> DataF
     def compare(batches):
         import pyarrow as pa
 
+        release_caches()
         unit, tile, open_, found = None, None, True, []
 
         def end():
@@ -355,31 +357,42 @@ def _tile_units(kept: DataFrame, need: _Need) -> DataFrame:
     differ = (F.least("g0", "h0") < F.greatest("g1", "h1")) & (F.col("tile") <= F.col("tile2"))
     fits = (F.lit(need.den) * F.col("n1") >= F.lit(need.num) * F.col("m0")) & (F.lit(need.den) * F.col("m1") >= F.lit(need.num) * F.col("n0"))
     pairs = written(lies.join(other, "key").where(differ & fits).select(F.col("tile").alias("a"), F.col("tile2").alias("b")).distinct(), "tile-pairs")
-    left = pairs.join(tiled.withColumnRenamed("tile", "a"), "a").select("a", "b", F.lit(0).alias("side"), "node")
-    right = pairs.where("a <> b").join(tiled.withColumnRenamed("tile", "b"), "b").select("a", "b", F.lit(1).alias("side"), "node")
-    return left.unionByName(right)
+    # Of two tiles the nodes of the smaller one are sent to the larger one, in as many parts as they need.
+    many = tiled.groupBy("tile").agg(F.count("*").alias("m"))
+    two = pairs.where("a <> b").join(many.select(F.col("tile").alias("a"), F.col("m").alias("ma")), "a").join(many.select(F.col("tile").alias("b"), F.col("m").alias("mb")), "b")
+    two = two.select(F.when(F.col("ma") >= F.col("mb"), F.col("a")).otherwise(F.col("b")).alias("large"), F.when(F.col("ma") >= F.col("mb"), F.col("b")).otherwise(F.col("a")).alias("small"), F.least("ma", "mb").alias("m"))
+    parts = two.groupBy("large").agg(F.ceil(F.sum("m") / QUERIES).cast("long").alias("parts"))
+    queries = two.join(parts, "large").select(F.col("large").alias("a"), F.pmod(F.xxhash64("small"), F.col("parts")).alias("b"), F.col("small").alias("tile")).join(tiled, "tile").select("a", "b", F.lit(1).alias("side"), "node")
+    units = parts.select(F.col("large").alias("a"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("b")).unionByName(pairs.where("a = b"))
+    return units.join(tiled.withColumnRenamed("tile", "a"), "a").select("a", "b", F.lit(0).alias("side"), "node").unionByName(queries)
 
 
 def _linked(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col: str, counts: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """``sets`` (``doc_id, t, n, node`` of each row), ``nodes``, ``edges`` that connect linked nodes, and their ``links`` if counted."""
-    need = _Need(num, den)
+    need, spark = _Need(num, den), docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_or_empty(text_col)).alias("t"), text_or_empty(text_col).alias("text"))
-    sets = written(_sets(rows, n, need), "sets")
+
+    def opened(units, counts=False):
+        with small_batches(spark):
+            return written(_open(units, tokens, need, counts), "links")
+
+    with small_batches(spark):
+        sets = written(_sets(rows, n, need), "sets")
     known = sets.where("doc_id is not null and n > 0")
     nodes = written(known.groupBy("node").agg(F.min(F.struct("doc_id", "t")).alias("rep"), F.min("n").alias("n"), F.min("drops").alias("drops"), F.count("*").alias("w")), "nodes")
     kept = _kept_keys(known, nodes)
-    tokens = _token_sets(rows.where("doc_id is not null"), nodes, kept.select("node"), n)
+    with small_batches(spark):
+        tokens = written(_token_sets(rows.where("doc_id is not null"), nodes, kept.select("node"), n), "token-sets")
     if counts:
-        found = written(_open(_tile_units(kept.withColumn("g", F.col("node")), need), tokens, need, True), "links")
+        found = opened(_tile_units(kept.withColumn("g", F.col("node")), need), True)
         edges, links = found.where("b is not null").select("a", "b"), found.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
     else:
-        first = written(_open(_pivot_units(kept, nodes, need), tokens, need, False), "links").select("a", "b")
+        first = opened(_pivot_units(kept, nodes, need)).select("a", "b")
         grouped = written(components(first), "groups")
         in_groups = kept.join(grouped, "node", "left").withColumn("g", F.coalesce("component", "node"))
         mixed_keys = in_groups.groupBy("key").agg(F.min("g").alias("g0"), F.max("g").alias("g1")).where("g0 <> g1").select("key")
         in_groups = written(in_groups.join(mixed_keys, "key"), "mixed")
-        more = written(_open(_tile_units(in_groups, need), tokens, need, False), "links").select("a", "b")
-        edges, links = first.unionByName(more), None
+        edges, links = first.unionByName(opened(_tile_units(in_groups, need)).select("a", "b")), None
         for t in (grouped, in_groups):
             dropped(t)
     for t in (kept, tokens):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes of text that are hashed at once; a longer word is hashed at once all the same.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 17
 
 _ODD = np.uint64(0x9E3779B97F4A7C13)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
