@@ -110,7 +110,8 @@ def read_chat(formatted: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     Returns ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
     formatted_chars``. Rows must lie as ``format_chat`` returns them: each
-    conversation whole and in order within a partition. The digests are taken
+    conversation whole and in order within a partition; a turn that does not begin
+    where the one before it ended raises an error. The digests are taken
     as the turns go by.
     """
     path = vocabulary or default_vocabulary()
@@ -125,7 +126,7 @@ def read_chat(formatted: DataFrame, vocabulary: str | None = None) -> DataFrame:
         def text(ids) -> str:
             return b"".join([table[i] for i in ids]).decode()
 
-        conv, done, turns, loss, n, loss_chars, chars = (), [], None, None, 0, 0, 0
+        conv, done, turns, loss, n, loss_chars, chars, place = (), [], None, None, 0, 0, 0, 0
 
         def close():
             done.append((conv[0], n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars))
@@ -140,8 +141,11 @@ def read_chat(formatted: DataFrame, vocabulary: str | None = None) -> DataFrame:
                 if (c,) != conv:
                     if conv:
                         close()
-                    conv, turns, loss, n, loss_chars, chars = (c,), hashlib.sha256(), hashlib.sha256(), 0, 0, 0
+                    conv, turns, loss, n, loss_chars, chars, place = (c,), hashlib.sha256(), hashlib.sha256(), 0, 0, 0, 0
                 ids = np.frombuffer(raw, "<u4").tolist()
+                if at != place:
+                    raise ValueError("the turns of a conversation do not follow each other")
+                place += len(ids)
                 s, e = ids.index(separator), len(ids) - 1 - ids[::-1].index(end)
                 if ids[0] != start:
                     raise ValueError("a turn does not begin with its mark")
