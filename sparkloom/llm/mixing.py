@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, text_or_empty, written
+from .common import WORD, fresh, text_or_empty, written
 
 #: No source is repeated more often than this.
 MOST = 3
@@ -15,29 +15,47 @@ WEIGHTS = (5, 2, 1)
 GROUP = 4096
 
 
+def _places(sizes: DataFrame) -> DataFrame:
+    """Add ``place``, the place of each source in code point order, null last, from 0.
+
+    Sources are dealt by ranges; each range counts its own, and a row for each range ties them together.
+    """
+    order = F.col("source").asc_nulls_last()
+    dealt = written(sizes.repartitionByRange(order).withColumn("pid", F.spark_partition_id()), "mix-sources")
+    before = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("pid").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).select("pid", "before")
+    rows = dealt.withColumn("nth", F.row_number().over(Window.partitionBy("pid").orderBy(order)))
+    return rows.join(F.broadcast(counts), "pid").withColumn("place", F.col("before") + F.col("nth") - 1).drop("pid", "before", "nth")
+
+
 def source_targets(sizes: DataFrame) -> DataFrame:
     """``source, source_size, target`` from ``source, source_size`` (one row a source).
 
     Sources in code point order, null last, weigh 5, 2, 1, repeating. The sum
     of all sizes is shared by weight; a target stops at three times its
     source's size, and the excess is shared anew by weight until none is above.
-    In the end a source is capped if and only if the common share for one unit
-    of weight reaches its cap for one unit, so the capped sources are the first
-    ones in order of cap / weight, and two running sums find them.
+    Each time all that is above stops, and three sums of whole numbers tell the share of the others,
+    so no order of sources matters and none meet in one task.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    weights = F.array(*map(F.lit, WEIGHTS))
-    w = sizes.withColumn("__w", F.element_at(weights, ((F.row_number().over(by_name) - 1) % len(WEIGHTS) + 1).cast("int")).cast("double")).withColumn("__cap", MOST * F.col("source_size").cast("double"))
-    every = Window.partitionBy()
-    by_cap = Window.orderBy(F.col("__cap") / F.col("__w"), F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    rest = F.sum("source_size").over(every) - F.coalesce(F.sum("__cap").over(by_cap), F.lit(0.0))
-    share = rest / (F.sum("__w").over(every) - F.coalesce(F.sum("__w").over(by_cap), F.lit(0.0)))
-    s = w.withColumn("__share", share).withColumn("__free", F.col("__share") * F.col("__w") < F.col("__cap"))
-    # The share that holds is the one at the first source that is not capped.
-    held = F.min(F.when(F.col("__free"), F.struct((F.col("__cap") / F.col("__w")).alias("k"), F.col("source").isNull().alias("n"), F.col("source").alias("s"), F.col("__share").alias("share")))).over(every)
-    s = s.withColumn("__held", held["share"])
-    target = F.when(F.col("__held").isNull(), F.col("__cap")).otherwise(F.least(F.col("__cap"), F.col("__held") * F.col("__w")))
-    return s.select("source", "source_size", target.alias("target"))
+    weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("place") % len(WEIGHTS) + 1).cast("int")).cast("long")
+    rows = written(_places(sizes.select("source", "source_size")).withColumn("weight", weight).withColumn("most", MOST * F.col("source_size")), "mix-weights")
+    total, units, stopped = *rows.agg(F.sum("source_size"), F.sum("weight")).first(), 0
+    if not units:
+        return rows.select("source", "source_size", F.lit(0.0).alias("target"))
+    rest, free = total, units
+
+    def over(rest, free):
+        wide = lambda c, digits: c.cast(f"decimal({digits},0)")
+        return wide(F.lit(rest), 20) * wide(F.col("weight"), 3) > wide(F.col("most"), 20) * wide(F.lit(free), 17)
+
+    while free:
+        above = over(rest, free)
+        n, held, weights = rows.where(above).agg(F.count("*"), F.sum("most"), F.sum("weight")).first()
+        if n == stopped:
+            break
+        stopped, rest, free = n, total - held, units - weights
+    target = F.when(over(rest, free), F.col("most").cast("double")).otherwise(F.lit(float(rest)) * F.col("weight") / F.lit(float(free))) if free else F.col("most").cast("double")
+    return rows.select("source", "source_size", target.alias("target"))
 
 
 def _round(rows, key):
@@ -145,15 +163,20 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """The documents of the mix, each as often as it is taken, with all their columns.
 
     Rows alike in id, text and source count as one row here, which is taken as
-    often as they are in sum; the join's own order finds the first of them.
+    often as they are in sum; of such rows that differ in other columns the one of least hash of all
+    columns is taken. Null and empty texts, which have no words, are never taken. Null ids and sources
+    are values like others. Empty table: no rows.
     """
+    k1, k2, times, nth, again = fresh(docs, 5)
+    own = lambda c: F.col(f"`{c}`")
 
     def keys(doc, source, fingerprint):
-        return F.xxhash64(doc, doc.isNull(), source, source.isNull()).alias("__k1"), fingerprint.alias("__k2")
+        return F.xxhash64(doc, doc.isNull(), source, source.isNull()).alias(k1), fingerprint.alias(k2)
 
     wanted = copies(docs, id_col, text_col, source_col, **names).where("copies > 0")
-    wanted = wanted.select(*keys(F.col("doc_id"), F.col("source"), F.col("fingerprint")), "copies").groupBy("__k1", "__k2").agg(F.sum("copies").alias("__copies"))
-    named = docs.select("*", *keys(F.col(id_col).cast("long"), F.col(source_col).cast("string"), F.xxhash64(text_col)))
-    found = named.join(wanted, ["__k1", "__k2"])
-    first = found.withColumn("__n", F.row_number().over(Window.partitionBy("__k1", "__k2").orderBy("__k1"))).where("__n = 1")
-    return first.withColumn("__again", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*docs.columns)
+    wanted = wanted.select(*keys(F.col("doc_id"), F.col("source"), F.col("fingerprint")), "copies").groupBy(k1, k2).agg(F.sum("copies").alias(times))
+    named = docs.select(*[own(c) for c in docs.columns], *keys(own(id_col).cast("long"), own(source_col).cast("string"), F.xxhash64(own(text_col))))
+    found = named.join(wanted, [k1, k2])
+    whole = F.xxhash64(F.to_json(F.struct(*[own(c) for c in docs.columns])))
+    first = found.withColumn(nth, F.row_number().over(Window.partitionBy(k1, k2).orderBy(whole))).where(F.col(nth) == 1)
+    return first.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select(*[own(c) for c in docs.columns])

@@ -92,3 +92,22 @@ def test_repeats_empty_and_the_mix_itself(spark):
     assert {k: v for k, v in counts.items() if v} == have
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).count() == 0
     assert mixing.mixed(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_names_of_columns_and_rows_that_differ_elsewhere(spark):
+    rows = [(1, "a b c", "s", "x", 1, 0.1), (1, "a b c", "s", "y", 7, 0.1), (2, "d " * 30, "t", "z", 3, 0.3), (3, "long " * 60_000, "t", "z", 3, 0.3)]
+    names = "doc_id long, text string, source string, `__k1` string, `__copies` int, `__n` double"
+    a, b = (sorted(mixing.mixed(spark.createDataFrame(r, names).repartition(n)).collect()) for r, n in ((rows, 1), (rows[::-1], 3)))
+    assert a == b and all(tuple(r) in rows for r in a)
+
+
+def test_no_copies_without_words(spark):
+    rows = [(1, None, "s"), (2, "", "s"), (3, " \n", None), (None, "w " * 9, None), (5, "w", "s")]
+    out = mixing.mixed(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r.doc_id for r in out} <= {None, 5}
+
+
+def test_targets_of_many_sources(spark):
+    sizes = {f"s{i * 7919 % 1000:03d}": (i * i) % 97 for i in range(600)}
+    got = mixing.source_targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()
+    assert {r.source: pytest.approx(r.target) for r in got} == shares(sizes)
