@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, values, written
+from .common import dropped, text_or_empty, values, written
 
 #: The document statistics, in order.
 STATISTICS = (
@@ -16,8 +16,8 @@ STATISTICS = (
     "stop", "comma", "exclaim", "bar", "hash", "other_sign", "sign_words", "distinct_words",
     "top_word", "same_as_last", "distinct_lines", "short_words",
 )
-#: Bound of the labelled rows that a model is fitted on.
-MAX_TRAINING_ROWS = 20_000
+#: Bound of the labelled rows that a model is fitted on; parts of them for calibration, and tasks that add up.
+MAX_TRAINING_ROWS, FOLDS, TASKS = 20_000, 4, 8
 
 
 def statistics(text: bytes) -> list[float]:
@@ -82,70 +82,86 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.ravel(np.column_stack([left, right])), np.repeat(level, 2)
 
 
-def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, x`` with the statistics of each whole text; ``__label`` goes along if there."""
-    extra = [c for c in docs.columns if c == "__label"]
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).cast("binary").alias("text"), *extra)
+def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", also: tuple = ()) -> DataFrame:
+    """``doc_id, x`` with the statistics of each whole text, and the columns ``also`` (name, type) as they are."""
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_or_empty(f"`{text_col}`").cast("binary").alias("text"), *[F.col(c) for c, _ in also])
 
     def measure(batches):
         import pyarrow as pa
 
         for batch in batches:
             x = np.array([statistics(t) for t in values(batch.column(1))], float).reshape(-1, len(STATISTICS))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(STATISTICS)).cast(pa.list_(pa.float64())), *batch.columns[2:]], names=["doc_id", "x", *extra])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(STATISTICS)).cast(pa.list_(pa.float64())), *batch.columns[2:]], names=["doc_id", "x", *[c for c, _ in also]])
 
-    return rows.mapInArrow(measure, "doc_id long, x array<double>" + "".join(f", {c} double" for c in extra))
+    return rows.mapInArrow(measure, "doc_id long, x array<double>" + "".join(f", {c} {t}" for c, t in also))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", max_rows: int = MAX_TRAINING_ROWS, features: int = 256, width: float = 6.0, ridge: float = 1e-3, seed: int = 7) -> Model | None:
+def _solve(a: np.ndarray, b: np.ndarray, rows: float, ridge: float) -> np.ndarray:
+    return np.linalg.solve(a + ridge * rows * np.eye(len(b)) / (len(b) - 1), b)
+
+
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", max_rows: int = MAX_TRAINING_ROWS, features: int = 256, width: float = 6.0, ridge: float = 1e-3, seed: int = 7, text_col: str = "text") -> Model | None:
     """Fit the classifier on at most ``max_rows`` labelled rows, chosen by a hash of the id.
 
     The chosen ids are bounded in number, so they are broadcast to the one scan
-    of the texts. Every partition adds up its own part of the normal equations;
-    the parts are added and solved by the driver, whose work does not grow with
-    the table. The scores of the same rows are then calibrated by isotonic
-    regression. A label, language, source or id is never an input of a score.
-    None if there is no label.
+    of the texts; of rows that repeat an id the one of least text hash is taken, so the bound holds. Every
+    partition adds up its own part of the normal equations, apart for each of
+    ``FOLDS`` parts of the ids; the sums are added and solved by the driver, whose work does not grow with
+    the table. Isotonic regression is fitted on scores of rows by weights that
+    did not see their part, and the final weights see all. A label, language, source or id is
+    never an input of a score. Of several labels of an id the greatest counts. None if there is no label.
     """
-    chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("__d")).agg(F.max(F.col(label_col)).cast("double").alias("__label"))
-    chosen = chosen.orderBy(F.xxhash64("__d"), "__d").limit(max_rows)
-    seen = docs.join(F.broadcast(chosen), docs[id_col].cast("long") == F.col("__d")).select(docs[id_col], docs["text"], "__label")
-    train = written(document_statistics(seen, id_col).coalesce(16), "quality-train")
+    name = F.col(f"`{id_col}`").cast("long")
+    label = F.col(f"`{label_col}`")
+    chosen = labels.where(label.isNotNull() & name.isNotNull()).groupBy(name.alias("key")).agg(F.max(label).cast("double").alias("label"))
+    chosen = chosen.orderBy(F.xxhash64("key"), "key").limit(max_rows)
+    rows = docs.select(name.alias("doc_id"), text_or_empty(f"`{text_col}`").alias("text"))
+    seen = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("key")).select("doc_id", "label", F.xxhash64("text").alias("hash"), "text")
+    found = document_statistics(seen, "doc_id", "text", (("label", "double"), ("hash", "long"))).repartition(TASKS, "doc_id")
+    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("hash"))
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int")
+    train = written(found.withColumn("nth", one).where("nth = 1").select("doc_id", "x", "label", fold.alias("fold")), "quality-train")
     # Moments come from sums, too.
     size = len(STATISTICS)
-    one = train.select(*[F.col("x")[i].alias(f"x{i}") for i in range(size)])
-    found = one.agg(F.count("*"), *[F.avg(f"x{i}") for i in range(size)], *[F.stddev_pop(f"x{i}") for i in range(size)]).first()
-    if not found[0]:
+    each = train.select(*[F.col("x")[i].alias(f"x{i}") for i in range(size)])
+    moments = each.agg(F.count("*"), *[F.avg(f"x{i}") for i in range(size)], *[F.stddev_pop(f"x{i}") for i in range(size)]).first()
+    if not moments[0]:
         return None
     rng = np.random.default_rng(seed)
-    scale = np.array(found[1 + size :], float)
-    model = Model(np.array(found[1 : 1 + size], float), np.where(scale > 1e-9, scale, 1.0), rng.normal(0, 1 / width, (size, features)), rng.uniform(0, 2 * np.pi, features), np.zeros(features + 1), np.zeros(1), np.zeros(1))
+    scale = np.array(moments[1 + size :], float)
+    model = Model(np.array(moments[1 : 1 + size], float), np.where(scale > 1e-9, scale, 1.0), rng.normal(0, 1 / width, (size, features)), rng.uniform(0, 2 * np.pi, features), np.zeros(features + 1), np.zeros(1), np.zeros(1))
+
+    def inputs(batch):
+        return model.features(np.array(batch.column(1).flatten()).reshape(-1, size)), np.array(batch.column(2)), np.array(batch.column(3))
 
     def sums(batches):
         import pyarrow as pa
 
-        a, b = np.zeros((features + 1, features + 1)), np.zeros(features + 1)
+        a, b, n = np.zeros((FOLDS, features + 1, features + 1)), np.zeros((FOLDS, features + 1)), np.zeros(FOLDS)
         for batch in batches:
-            x = np.array(batch.column(1).flatten()).reshape(-1, size)
-            z = model.features(x)
-            a += z.T @ z
-            b += z.T @ np.array(batch.column(2))
-        yield pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()), pa.array([b.tobytes()], pa.binary())], names=["a", "b"])
-
-    parts = train.mapInArrow(sums, "a binary, b binary").collect()  # at most 16 rows
-    a = sum(np.frombuffer(p["a"]) for p in parts).reshape(features + 1, -1)
-    b = sum(np.frombuffer(p["b"]) for p in parts)
-    model.weights = np.linalg.solve(a + ridge * found[0] * np.eye(features + 1) / features, b)
+            z, y, part = inputs(batch)
+            for k in range(FOLDS):
+                own = z[part == k]
+                a[k] += own.T @ own
+                b[k] += own.T @ y[part == k]
+                n[k] += len(own)
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (a, b, n)], names=["a", "b", "n"])
+
+    parts = train.coalesce(TASKS).mapInArrow(sums, "a binary, b binary, n binary").collect()  # at most TASKS rows
+    a, b, n = (sum(np.frombuffer(p[k]) for p in parts).reshape(shape) for k, shape in (("a", (FOLDS, features + 1, -1)), ("b", (FOLDS, -1)), ("n", FOLDS)))
+    model.weights = _solve(a.sum(0), b.sum(0), n.sum(), ridge)
+    without = np.array([_solve(a.sum(0) - a[k], b.sum(0) - b[k], n.sum() - n[k], ridge) if n.sum() > n[k] else model.weights for k in range(FOLDS)])
 
     def raw(batches):
         import pyarrow as pa
 
         for batch in batches:
-            x = np.array(batch.column(1).flatten()).reshape(-1, size)
-            yield pa.RecordBatch.from_arrays([pa.array(model.raw(x)), batch.column(2)], names=["raw", "label"])
+            z, _, part = inputs(batch)
+            yield pa.RecordBatch.from_arrays([pa.array((z * without[part]).sum(1)), batch.column(2)], names=["raw", "label"])
 
-    pairs = train.mapInArrow(raw, "raw double, label double").toPandas()  # at most max_rows rows, more only if ids repeat
+    pairs = train.mapInArrow(raw, "raw double, label double").toPandas()  # a row for each id, max_rows at most
     model.steps, model.values = isotonic(pairs["raw"].to_numpy(), pairs["label"].to_numpy())
+    dropped(train)
     return model
 
 
@@ -182,7 +198,11 @@ def quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROW
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
-    """The documents scored ``threshold`` or more, with all their columns, in one scan without a join."""
+    """The documents scored ``threshold`` or more, with all their columns, in one scan without a join.
+
+    Null and empty texts are scored by their statistics, which are all zero. Null ids and
+    repeated rows are scored each on its own. No usable label: all documents stay. Empty table: no rows.
+    """
     model = fit(docs, labels.where(~held_out()), max_rows=max_rows)
     if model is None:
         return docs

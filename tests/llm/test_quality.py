@@ -54,3 +54,38 @@ def test_odd_rows(spark):
     assert q.quality(spark.createDataFrame([], SCHEMA), labels).count() == 0
     none = q.quality(docs, labels.limit(0)).collect()
     assert {r.score for r in none} == {0.5}
+
+
+def test_normal_equations_and_scores_against_plain_numpy(spark):
+    """Weights, calibration and scores from all rows at once, in memory; columns with the names that are used inside."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(["alpha", "beta!", "G7", "x", "||", "low"], rng.integers(1, 60))) for _ in range(120)]
+    rows = [(i, t, "m", i, -1.0, "h", 5) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `__label` string, `key` long, label double, hash string, fold int").repartition(5)
+    labels = spark.createDataFrame([(i, int("!" in t)) for i, t in enumerate(texts)], "doc_id long, quality int")
+    model = q.fit(docs, labels, features=32)
+    x = np.array([q.statistics(t.encode()) for t in texts])
+    y = np.array(["!" in t for t in texts], float)
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale[x.std(0) > 1e-9], x.std(0)[x.std(0) > 1e-9])
+    z = model.features(x)
+    ridge = 1e-3 * len(x) * np.eye(33) / 32
+    assert np.allclose(model.weights, np.linalg.solve(z.T @ z + ridge, z.T @ y), atol=1e-8)
+    folds = {r.id: r.f for r in spark.range(120).selectExpr("id", "pmod(xxhash64('fold', id), 4) f").collect()}
+    part = np.array([folds[i] for i in range(120)])
+    out = np.zeros(120)
+    for k in range(4):
+        zk, yk = z[part != k], y[part != k]
+        out[part == k] = z[part == k] @ np.linalg.solve(zk.T @ zk + 1e-3 * len(zk) * np.eye(33) / 32, zk.T @ yk)
+    steps, values = q.isotonic(out, y)
+    got = {r.doc_id: r.score for r in q.score(docs, model).collect()}
+    assert np.allclose([got[i] for i in range(120)], np.interp(z @ model.weights, steps, values), atol=1e-6)
+    kept = q.keep_good(docs, labels.where("doc_id % 3 != 5"))
+    assert kept.columns == docs.columns and all((r["__label"], r["key"], r.label, r.hash, r.fold) == ("m", r.doc_id, -1.0, "h", 5) for r in kept.collect())
+
+
+def test_repeated_ids_do_not_widen_the_training_rows(spark):
+    rows = [(i % 10, f"text {i} " * (1 + i % 3)) for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)] * 3, "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = q.fit(docs, labels, features=8)
+    assert model is not None and len(model.steps) <= 2 * 10
