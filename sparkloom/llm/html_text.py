@@ -151,7 +151,9 @@ def parse(page: str) -> Node:
                 if open_[i].tag in limit or (not within and open_[i].tag not in INLINE and open_[i].tag != "p"):
                     break
         here = open_[-1]
-        new = Node(tag, here, here.out or _left_out(tag, m[3]), _named(tag, m[3]))
+        # The header of an article holds its title; that of a page does not.
+        titled = tag == "header" and any(x.tag == "article" for x in open_)
+        new = Node(tag, here, here.out or _left_out("div" if titled else tag, m[3]), _named(tag, m[3]))
         here.inside.append(new)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]|\Z", re.I).search(page, at)

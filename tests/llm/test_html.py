@@ -67,3 +67,8 @@ def test_wrappers_are_not_left_out(start):
 
 def test_long_comments_are_left_out():
     assert main_text(f"<body><article><h1>Title here</h1>{BODY}</article><div class='comments'>{LONG}</div></body>") == WANT
+
+
+def test_header_of_an_article_and_of_a_page():
+    page = "<body><header><h1>Site</h1></header><article><header><h1>Title</h1></header><p>This is a long article text about many things, with commas.</p></article></body>"
+    assert main_text(page) == "Title\nThis is a long article text about many things, with commas."
