@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import basename, normal_route
 from ..functions.text import fuzzy_contains
+from .merge import in_blocks
 
 #: Methods and kinds of routes that are no handlers, tables that are none, verbs of a database operation.
 PSEUDO_METHODS = ("", "GROUP", "MIDDLEWARE", "PREFIX")
@@ -122,19 +123,20 @@ def unguarded(guards: DataFrame, signals: DataFrame, seen: DataFrame, aware: Dat
 def traced(flow_pages: DataFrame, contexts: DataFrame, feature_pages: DataFrame, features: DataFrame) -> DataFrame:
     """``flow, feature``: the feature of each flow, by a shared page, else by a name that resembles its context.
 
-    Features are a bounded catalogue and broadcast; the first by name wins.
+    Features meet the contexts in blocks; the first by name wins.
     """
     shared = flow_pages.select("flow", basename("page").alias("page")).join(feature_pages.select("feature", basename("page").alias("page")), "page").groupBy("flow").agg(F.min("feature").alias("feature"))
     left = contexts.where(F.coalesce("context", F.lit("")) != "").join(shared, "flow", "left_anti")
     alike = fuzzy_contains(F.col("context"), F.col("feature")) | fuzzy_contains(F.col("feature"), F.col("context"))
-    named = left.join(F.broadcast(features.select("feature").distinct()), alike).groupBy("flow").agg(F.min("feature").alias("feature"))
+    named = in_blocks(features.select("feature").distinct(), lambda some: left.join(F.broadcast(some), alike).select("flow", "feature")).groupBy("flow").agg(F.min("feature").alias("feature"))
     return shared.unionByName(named)
 
 
 def without_heading(features: DataFrame, headings: DataFrame) -> DataFrame:
     """``artefact, feature``: features that no heading of an artefact (``artefact, heading``) names."""
-    every = headings.select("artefact").distinct().crossJoin(F.broadcast(features.select("feature").distinct()))  # artefacts are a handful
-    found = headings.join(F.broadcast(features.select("feature").distinct()), fuzzy_contains(F.col("feature"), F.col("heading"))).select("artefact", "feature").distinct()
+    names = features.select("feature").distinct()
+    every = names.crossJoin(F.broadcast(headings.select("artefact").distinct()))  # artefacts are a handful
+    found = in_blocks(names, lambda some: headings.join(F.broadcast(some), fuzzy_contains(F.col("feature"), F.col("heading"))).select("artefact", "feature").distinct())
     return every.join(found, ["artefact", "feature"], "left_anti")
 
 
@@ -159,7 +161,7 @@ def low_confidence(report: DataFrame, least: float = 0.4) -> DataFrame:
 
 
 def orphans(texts: DataFrame, pattern: str, names: DataFrame, name: str, ratio: float = 0.7, skip: str | None = None, text: str = "text") -> DataFrame:
-    """``item``: what a pattern finds in texts (headings, actors) that resembles none of ``names``, a bounded catalogue.
+    """``item``: what a pattern finds in texts (headings, actors) that resembles none of ``names``, which meet it in blocks.
 
     The names may hold the item, or the item a name, wholly or by ``ratio`` of its words. Items that match ``skip`` are meant to be alone.
     """
@@ -168,7 +170,7 @@ def orphans(texts: DataFrame, pattern: str, names: DataFrame, name: str, ratio:
         found = found.where(~F.col("item").rlike(skip))
     n = F.col(name)
     alike = fuzzy_contains(F.col("item"), n, ratio) | F.contains(F.lower("item"), F.lower(n))
-    met = found.join(F.broadcast(names.select(name).distinct()), alike).select("item").distinct()
+    met = in_blocks(names.select(name).distinct(), lambda some: found.join(F.broadcast(some), alike).select("item").distinct())
     return found.join(met, "item", "left_anti")
 
 

@@ -151,3 +151,36 @@ def two_hops(start: DataFrame, edges: DataFrame) -> DataFrame:
     """``id, hop``: seeds (0), neighbours either way (1) and theirs (2), least hop kept."""
     both = edges.select("source", "target").unionByName(edges.select(F.col("target").alias("source"), F.col("source").alias("target"))).distinct()
     return reachable(both, start, 2).withColumnRenamed("depth", "hop")
+
+
+def clustering(quality: DataFrame, low: float = 0.1, mid: float = 0.3) -> DataFrame:
+    """``modularity, use``: if communities are worth using, or directories are better."""
+    q = F.col("modularity")
+    return quality.select("modularity", F.when(q >= mid, "communities").when(q >= low, "weak communities").otherwise("directories").alias("use"))
+
+
+def by_directory(files: DataFrame, least: int = 2, rest: str = "Misc") -> DataFrame:
+    """``file, community``: the folder of each file; folders of fewer than ``least`` files go to ``rest``."""
+    folder = F.regexp_extract("file", r"^(.*)/[^/]+$", 1)
+    rows = files.select("file", folder.alias("folder"))
+    size = rows.groupBy("folder").agg(F.count("*").alias("n"))
+    return rows.join(size, "folder").select("file", F.when((F.col("n") >= least) & (F.col("folder") != ""), F.col("folder")).otherwise(rest).alias("community"))
+
+
+def without_redirects(edges: DataFrame, through: DataFrame) -> DataFrame:
+    """``source, target``: edges of a graph from which the nodes ``through(id)`` are taken out, what enters them tied to what leaves them.
+
+    One redirect after the other is followed until none is left between.
+    """
+    marked = through.select(F.col("id").alias("target"), F.lit(True).alias("pass")).distinct()
+    step = settled(edges.select("source", "target").distinct().join(marked, "target", "left"))
+    onward = step.select(F.col("source").alias("target"), F.col("target").alias("next"), F.col("pass").alias("again"))
+    kept = step.join(through.select(F.col("id").alias("source")).distinct(), "source", "left_anti")
+    done, front, seen = kept.where("pass is null").select("source", "target"), settled(kept.where("pass").select("source", "target")), None
+    seen = front
+    while not front.isEmpty():
+        grown = front.join(onward, "target").select("source", F.col("next").alias("target"), "again")
+        done = done.unionByName(grown.where("again is null").select("source", "target"))
+        front = settled(grown.where("again").select("source", "target").distinct().join(seen, ["source", "target"], "left_anti"))
+        seen = seen.unionByName(front)
+    return done.distinct()

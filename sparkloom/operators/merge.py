@@ -2,10 +2,25 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def in_blocks(rows: DataFrame, f, most: int = 2000) -> DataFrame:
+    """``f`` of each block of about ``most`` rows, united.
+
+    A set of rows that has to meet a whole table, and of which nothing says that
+    it is small, is counted and then broadcast one block at a time.
+    """
+    n = max(1, -(-rows.count() // most))
+    if n == 1:
+        return f(rows)
+    block = F.pmod(F.xxhash64(*rows.columns), F.lit(n))
+    return reduce(DataFrame.unionByName, [f(rows.where(block == i)) for i in range(n)])
+
+
 def first_of(df: DataFrame, key: list, order: list) -> DataFrame:
     """One row a key: the first in the given order (first writer wins)."""
     w = Window.partitionBy(*key).orderBy(*order)

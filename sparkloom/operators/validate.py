@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import fuzzy_contains
+from .merge import in_blocks
 
 
 def missing(expected: DataFrame, present: list[tuple[DataFrame, str]], key: str, severity: Column, most: int | None = None) -> DataFrame:
@@ -24,9 +25,18 @@ def unknown(references: DataFrame, known: DataFrame, key: str) -> DataFrame:
 
 
 def unknown_items(rows: DataFrame, items: str, known: DataFrame, key: str) -> DataFrame:
-    """Arrays without items that are not known; untouched where nothing is known (known sets are bounded catalogues)."""
-    some = known.agg(F.collect_set(key).alias("__known"))
-    return rows.crossJoin(F.broadcast(some)).withColumn(items, F.when(F.size("__known") > 0, F.array_intersect(items, "__known")).otherwise(F.col(items))).drop("__known")
+    """Arrays without items that are not known, in order; untouched where nothing is known.
+
+    Items are looked up by an equi-join, and rows told apart by their digest, so known sets of any size will do.
+    """
+    digest = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])), 256)
+    named = rows.withColumn("__row", digest)
+    each = named.select("__row", items).distinct().select("__row", F.posexplode(items).alias("at", "item"))
+    left = each.join(known.select(F.col(key).alias("item")).distinct(), "item", "left_semi").groupBy("__row").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "item"))), lambda x: x["item"]).alias("__left"))
+    any_known = known.select(F.lit(True).alias("__any")).limit(1)
+    out = named.join(left, "__row", "left").join(F.broadcast(any_known), F.lit(True), "left")  # one row or none
+    kept = F.when(F.col("__any").isNull(), F.col(items)).otherwise(F.coalesce("__left", F.slice(items, 1, 0)))
+    return out.withColumn(items, kept).select(*[F.col(f"`{c}`") for c in rows.columns])
 
 
 def several_targets(edges: DataFrame, source: str, target: str, least: int = 2) -> DataFrame:
@@ -53,8 +63,8 @@ def qa(findings: DataFrame, coverage: float, least: float = 0.8) -> DataFrame:
 
 
 def not_mentioned(names: DataFrame, texts: DataFrame, name: str, text: str, ratio: float = 0.75) -> DataFrame:
-    """Names that no text holds, wholly or by ``ratio`` of their words. Names are a bounded catalogue."""
-    hit = texts.join(F.broadcast(names), fuzzy_contains(F.col(name), F.col(text), ratio)).select(name).distinct()
+    """Names that no text holds, wholly or by ``ratio`` of their words. Names meet the texts in blocks."""
+    hit = in_blocks(names, lambda some: texts.join(F.broadcast(some), fuzzy_contains(F.col(name), F.col(text), ratio)).select(name).distinct())
     return names.join(hit, name, "left_anti")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.keys import human, normal_route
-from ..operators import codegraph, extract, merge, mining, relations, retrieve, rules, states, validate
+from ..operators import codegraph, extract, handlers, merge, mining, relations, retrieve, rules, states, validate
 from ..sources.tables import table
 from .registry import query
 
@@ -373,3 +373,112 @@ def q85_context_index(spark, sf_dir):
     calls = li.where("l_quantity > 45").select(file("l_suppkey"), _f("o%d", "l_orderkey").alias("callee"))
     rule = li.where("l_discount > 0.08").select(file("l_suppkey"), _f("p%d", "l_partkey").alias("rule"))
     return codegraph.context_index(s.select(file("s_suppkey")), calls, rule, p.select(F.col("p_brand").alias("table"), F.col("p_type").alias("column")), s.select(file("s_suppkey"), _f("n%d", "s_nationkey").alias("table")))
+
+
+# --- handlers ---
+
+
+def _laravel(spark, sf_dir):
+    text = F.concat(_f("class P%dController {\n  /** Store it.\n   * more */\n  public function store(Request $request) {\n", "p_partkey"), F.lit("    $n = $request->input('name'); if (Auth::check()) { Item::create(['n' => '}']); }\n    return redirect('/x');\n  }\n"), _f("  public function show($id): View {\n    $p = Part%d::find($id); return view('p');\n  }\n}", "p_size"))
+    return _file(table(spark, sf_dir, "part"), _f("P%d.php", "p_partkey"), text)
+
+
+@query("""SELECT 'P' || p_partkey || '.php' AS path, h.o AS ord, h.n AS name, CASE h.o WHEN 0 THEN 'guard guard; read name; do Item::create; give redirect' ELSE 'do Part' || p_size || '::find; give view' END AS steps FROM part, LATERAL (SELECT unnest([{'o': 0, 'n': 'store'}, {'o': 1, 'n': 'show'}]) AS h)""")
+def q110_laravel_paths(spark, sf_dir):
+    found = handlers.paths(handlers.bodies(_laravel(spark, sf_dir), "php"), "php")
+    return handlers.happy_path(found).join(found.select("path", "ord", "name"), ["path", "ord"]).select("path", "ord", "name", "steps")
+
+
+@query("""SELECT 'r' || p_partkey || '.ts' AS path, upper(CASE WHEN p_size % 2 = 0 THEN 'post' ELSE 'get' END) AS verb, '/p/' || p_partkey AS route, 'guard session_user; read qty; do prisma.part.create; give json' AS steps FROM part""")
+def q110b_express_paths(spark, sf_dir):
+    text = F.concat(F.lit("router."), F.when(F.col("p_size") % 2 == 0, "post").otherwise("get"), _f("('/p/%d', requireAuth, async (req, res) => {\n", "p_partkey"), F.lit("  if (!req.user) { return; }\n  const q = req.body.qty;\n  await prisma.part.create({ data: { q } });\n  res.status(201).json({ a: '}' });\n});\nfunction other() {}"))
+    found = handlers.paths(handlers.bodies(_file(table(spark, sf_dir, "part"), _f("r%d.ts", "p_partkey"), text), "typescript"), "typescript")
+    return found.select("path", "ord", "verb", "route").join(handlers.happy_path(found), ["path", "ord"]).drop("ord")
+
+
+@query("""SELECT 'C' || p_partkey || '.java' AS path, v.v AS verb, v.r AS route, v.n AS name, v.e AS effects FROM part, LATERAL (SELECT unnest([{'v': 'GET', 'r': '/p/' || p_partkey, 'n': 'one', 'e': 'partService.find'}, {'v': 'ANY', 'r': '/all', 'n': 'all', 'e': ''}]) AS v)""")
+def q110c_spring_paths(spark, sf_dir):
+    text = F.concat(_f("@RestController\npublic class C%d {\n  @GetMapping(\"/p/%d\")\n", "p_partkey", "p_partkey"), F.lit("  @ResponseBody\n  public Part one(@PathVariable String id) {\n    return partService.find(id);\n  }\n  @RequestMapping(\"/all\")\n  public String all() { return \"}\"; }\n}"))
+    found = handlers.paths(handlers.bodies(_file(table(spark, sf_dir, "part"), _f("C%d.java", "p_partkey"), text), "java"), "java")
+    return found.select("path", "verb", "route", "name", F.array_join("effects", ",").alias("effects"))
+
+
+@query("""SELECT 'a' || s_suppkey || '.ts' AS path, unnest([['passport'], ['jwt', 'bearer'], ['nestjs_guard'], ['supabase_auth', 'clerk_auth']][s_suppkey % 4 + 1]) AS kind FROM supplier UNION ALL SELECT 'a' || s_suppkey || '.java', unnest([['pre_authorize', 'role_check'], ['secured'], [], ['jwt']][s_suppkey % 4 + 1]) FROM supplier""")
+def q111_auth_signals(spark, sf_dir):
+    pick = lambda *x: F.element_at(F.array(*map(F.lit, x)), (F.col("s_suppkey") % 4 + 1).cast("int"))
+    s = table(spark, sf_dir, "supplier")
+    ts = _file(s, _f("a%d.ts", "s_suppkey"), pick("passport.authenticate('x')", "jwt.verify(t) // Bearer  token", "@UseGuards(X)", "supabase.auth.signInWithOtp()"))
+    java = _file(s, _f("a%d.java", "s_suppkey"), pick("@PreAuthorize(\"hasRole('A')\")", "@Secured(\"x\")", "nothing", "parseClaimsJws(t)"))
+    return handlers.auth_signals(ts, "typescript").unionByName(handlers.auth_signals(java, "java"))
+
+
+@query("""SELECT 'd' || s_suppkey || '.ts' AS path, unnest(['S' || s_nationkey || 'Service', 'Mailer']) AS depends_on FROM supplier UNION ALL SELECT 'd' || s_suppkey || '.java', unnest(['N' || s_nationkey || 'Repository', 'Clock']) FROM supplier UNION ALL SELECT 'd' || s_suppkey || '.php', 'Repo' || s_nationkey FROM supplier""")
+def q111b_injected_services(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier")
+    ts = _file(s, _f("d%d.ts", "s_suppkey"), _f("constructor(private readonly a: S%dService, public m: Mailer, plain: string) {}", "s_nationkey"))
+    java = _file(s, _f("d%d.java", "s_suppkey"), _f("public D(N%dRepository r, String s, Clock c) {}", "s_nationkey"))
+    php = _file(s, _f("d%d.php", "s_suppkey"), _f("public function __construct(private App\\Repo%d $r, int $n) {}", "s_nationkey"))
+    return handlers.injected(ts, "typescript").unionByName(handlers.injected(java, "java")).unionByName(handlers.injected(php, "php"))
+
+
+@query("""SELECT 'i' || s_suppkey || '.ts' AS path, i.s AS source, i.k AS key FROM supplier, LATERAL (SELECT unnest([{'s': 'body', 'k': 'f' || s_nationkey}, {'s': 'query', 'k': 'page'}, {'s': 'body', 'k': 'email'}, {'s': 'body', 'k': 'pass'}]) AS i) UNION ALL SELECT 'i' || s_suppkey || '.java', i.s, i.k FROM supplier, LATERAL (SELECT unnest([{'s': 'body', 'k': 'dto'}, {'s': 'query', 'k': 'q' || s_nationkey}, {'s': 'path', 'k': 'id'}]) AS i)""")
+def q111c_inputs(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier")
+    ts = _file(s, _f("i%d.ts", "s_suppkey"), _f("const a = req.body.f%d + req.query.page + req.query.page; const { email, pass } = req.body;", "s_nationkey"))
+    java = _file(s, _f("i%d.java", "s_suppkey"), _f("f(@RequestBody Dto dto, @RequestParam(\"q\") String q%d, @PathVariable Long id)", "s_nationkey"))
+    return handlers.inputs(ts, "typescript").unionByName(handlers.inputs(java, "java"))
+
+
+@query("""SELECT 'J' || s_suppkey || '.java' AS path, 'K' || s_suppkey AS name, ['controller', 'model', 'service', 'class'][s_suppkey % 4 + 1] AS role FROM supplier""")
+def q111d_java_classes(spark, sf_dir):
+    note = F.element_at(F.array(*map(F.lit, ("@RestController\n@RequestMapping(\"/x\")\n", "@Entity\n@Table(name = \"t\")\n", "@Service\n", "")), ), (F.col("s_suppkey") % 4 + 1).cast("int"))
+    return handlers.java_classes(_file(table(spark, sf_dir, "supplier"), _f("J%d.java", "s_suppkey"), F.concat(F.lit("import a.b;\n"), note, _f("public final class K%d {}", "s_suppkey"))))
+
+
+@query("""SELECT 'web' || n_nationkey || '.php' AS path, l.o AS line, l.v AS verb, l.u AS uri, l.c AS controller, l.a AS action, l.m AS middleware, l.m IN ('auth', 'auth:api') AS login FROM nation, LATERAL (SELECT unnest([{'o': 0, 'v': 'GET', 'u': '/n/' || n_nationkey, 'c': 'HomeController', 'a': 'index', 'm': 'auth'}, {'o': 1, 'v': 'POST', 'u': '/s', 'c': 'SController', 'a': 'store', 'm': ''}, {'o': 2, 'v': 'DELETE', 'u': '/i', 'c': 'Invoked', 'a': '__invoke', 'm': 'auth:api'}, {'o': 3, 'v': 'ANY', 'u': '/z', 'c': '', 'a': '__invoke', 'm': 'log'}]) AS l)""")
+def q112_route_files(spark, sf_dir):
+    text = F.concat(_f("Route::get('/n/%d', 'HomeController@index')->middleware('auth');\n", "n_nationkey"), F.lit("Route::post('/s', [App\\SController::class, 'store']);\nRoute::delete('/i', \\App\\Invoked::class)->middleware('auth:api');\nRoute::any('/z', function () { })->middleware('log');"))
+    return handlers.route_file(_file(table(spark, sf_dir, "nation"), _f("web%d.php", "n_nationkey"), text))
+
+
+@query("""SELECT 'g' || n_nationkey || '.php' AS path, g.v AS verb, g.u AS uri FROM nation, LATERAL (SELECT unnest([{'v': 'GET', 'u': '/r' || n_regionkey || '/list'}, {'v': 'POST', 'u': '/r' || n_regionkey}]) AS g)""")
+def q112b_group_prefixes(spark, sf_dir):
+    text = _f("Route::get('/out', 'A@b');\nRoute::middleware('auth')->prefix('/r%d/')->group(function () {\n  Route::get('list', 'A@l');\n  Route::post('/', 'A@s');\n});", "n_regionkey")
+    return handlers.group_prefixes(_file(table(spark, sf_dir, "nation"), _f("g%d.php", "n_nationkey"), text))
+
+
+@query("""SELECT 'y' || n_nationkey || '.php' AS path, g.v AS verb, g.u AS uri, g.n AS name FROM nation, LATERAL (SELECT unnest([{'v': 'GET', 'u': '/s/' || n_nationkey, 'n': 'show'}, {'v': 'POST', 'u': '/s/' || n_nationkey, 'n': 'show'}, {'v': 'ANY', 'u': '/t', 'n': 'every'}]) AS g)""")
+def q112c_attribute_routes(spark, sf_dir):
+    text = _f("#[Route('/s/%d', name: 's', methods: ['GET', 'POST'])]\npublic function show() {}\n#[Route('/t')]\npublic function every() {}", "n_nationkey")
+    return handlers.attribute_routes(_file(table(spark, sf_dir, "nation"), _f("y%d.php", "n_nationkey"), text))
+
+
+@query("""SELECT 'w' || n_nationkey || '.php' AS path, h.k AS kind, h.h AS hook, h.c AS callback FROM nation, LATERAL (SELECT unnest([{'k': 'action', 'h': 'init', 'c': 'run' || n_nationkey}, {'k': 'filter', 'h': 'the_title', 'c': 'f'}, {'k': 'rest', 'h': '/shop/v1/n' || n_nationkey, 'c': ''}]) AS h)""")
+def q112d_hooks(spark, sf_dir):
+    text = _f("add_action('init', 'run%d'); add_filter( 'the_title', 'f', 10 ); register_rest_route('shop/v1', '/n%d', []);", "n_nationkey", "n_nationkey")
+    return handlers.hooks(_file(table(spark, sf_dir, "nation"), _f("w%d.php", "n_nationkey"), text))
+
+
+@query("""SELECT 'v' || n_nationkey || '.ts' AS path, v.u AS uri, v.c AS component FROM nation, LATERAL (SELECT unnest([{'u': '/n/' || n_nationkey, 'c': 'N' || n_nationkey}, {'u': '/lazy', 'c': './views/L.vue'}]) AS v)""")
+def q112e_vue_routes(spark, sf_dir):
+    text = _f("const routes = [{ path: '/n/%d', name: 'n', component: N%d }, { path: '/lazy', component: () => import('./views/L.vue') }]", "n_nationkey", "n_nationkey")
+    return handlers.vue_routes(_file(table(spark, sf_dir, "nation"), _f("v%d.ts", "n_nationkey"), text))
+
+
+@query("""SELECT CASE WHEN n_nationkey % 2 = 0 THEN 'c' || n_nationkey || '.vue' ELSE 'c' || n_nationkey || '.tsx' END AS path, CASE WHEN n_nationkey % 2 = 0 THEN 'title,n' || n_nationkey ELSE 'a,b' END AS props, CASE WHEN n_nationkey % 2 = 0 THEN 'save,close' ELSE '' END AS emits FROM nation""")
+def q112f_component_facts(spark, sf_dir):
+    vue = _f("defineProps<{ title: string; n%d?: number }>(); emit('save', 1); $emit('close'); emit('save')", "n_nationkey")
+    even = F.col("n_nationkey") % 2 == 0
+    return handlers.component_facts(_file(table(spark, sf_dir, "nation"), F.when(even, _f("c%d.vue", "n_nationkey")).otherwise(_f("c%d.tsx", "n_nationkey")), F.when(even, vue).otherwise("export function Card({ a, b }) { return null }")))
+
+
+@query("""SELECT 'g' || s_suppkey || '.php' AS path, '$_' || v.v AS var, v.k AS key, 'list' || s_nationkey || '.php' AS target FROM supplier, LATERAL (SELECT unnest([{'v': 'POST', 'k': 'name'}, {'v': 'SESSION', 'k': 'u' || s_nationkey}]) AS v)""")
+def q113_superglobals_and_redirects(spark, sf_dir):
+    text = _f("if ($_POST['name'] && $_POST[\"name\"] && $_SESSION['u%d']) { header('Location: list%d.php?x=1'); }", "s_nationkey", "s_nationkey")
+    files = _file(table(spark, sf_dir, "supplier"), _f("g%d.php", "s_suppkey"), text)
+    return handlers.superglobals(files).join(handlers.redirects(files), "path")
+
+
+@query("""SELECT 'P' || p_partkey || '.php' AS path, 'P' || p_partkey || 'Controller' AS class, m.n AS name, 'public' AS visibility, m.d AS doc FROM part, LATERAL (SELECT unnest([{'n': 'store', 'd': 'Store it.'}, {'n': 'show', 'd': ''}]) AS m)""")
+def q113b_methods(spark, sf_dir):
+    return handlers.methods(_laravel(spark, sf_dir))

@@ -124,3 +124,10 @@ def q38e_gaps(spark, sf_dir):
 @query("""SELECT source, count(*) AS "rows" FROM documents GROUP BY source HAVING count(*) > 1""")
 def q38f_repeated_keys(spark, sf_dir):
     return validate.repeated_keys(table(spark, sf_dir, "documents"), ["source"])
+
+
+@query("""SELECT p_partkey, array_to_string(list_filter(string_split(p_name, ' '), lambda w: w IN ('cold', 'widget', 'small')), ',') AS words FROM part""")
+def q35b_unknown_items(spark, sf_dir):
+    known = spark.createDataFrame([("cold",), ("widget",), ("small",)], "w string")
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.split("p_name", " ").alias("words"))
+    return validate.unknown_items(rows, "words", known, "w").select("p_partkey", F.array_join("words", ",").alias("words"))

@@ -137,3 +137,49 @@ def q07d_path_enumeration(spark, sf_dir):
     edges = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("source"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("target"))
     found = graph.shortest_paths(edges, edges.select(F.col("source").alias("id")).distinct(), 8)
     return found.select("start", "id", (F.size("path") - 1).alias("steps"))
+
+
+_BOUGHT = "e AS (SELECT DISTINCT 'c' || o_custkey AS a, 'p' || l_partkey AS b FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_quantity >= 40)"
+_CO_LABELS = f"""WITH {_BOUGHT}, bw AS (SELECT a AS source, b AS target FROM e UNION ALL SELECT b, a FROM e), l0 AS (SELECT DISTINCT source AS id, source AS community FROM bw),
+l1 AS (SELECT id, min(community) AS community FROM (SELECT * FROM l0 UNION ALL SELECT bw.source, l0.community FROM bw JOIN l0 ON bw.target = l0.id) GROUP BY id)"""
+
+
+def _bought(spark, sf_dir):
+    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    rows = li.where("l_quantity >= 40").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    return rows.select(F.format_string("c%d", "o_custkey").alias("source"), F.format_string("p%d", "l_partkey").alias("target")).distinct()
+
+
+@query(_CO_LABELS + " SELECT id, community FROM l1")
+def q07e_bought_together(spark, sf_dir):
+    """One label round over customers and the parts they bought."""
+    return graph.min_labels(_bought(spark, sf_dir), 1)
+
+
+@query(_CO_LABELS + """, m AS (SELECT count(*) AS m FROM e), x AS (SELECT p.community AS ca, q.community AS cb FROM e JOIN l1 p ON p.id = e.a JOIN l1 q ON q.id = e.b),
+i AS (SELECT ca, count(*) FILTER (WHERE ca = cb) AS inside FROM x GROUP BY ca), d AS (SELECT c, count(*) AS d FROM (SELECT ca AS c FROM x UNION ALL SELECT cb FROM x) GROUP BY c),
+q AS (SELECT round(sum(coalesce(inside, 0) / m.m - pow(d.d / (2.0 * m.m), 2)), 6) AS modularity FROM d LEFT JOIN i ON d.c = i.ca CROSS JOIN m)
+SELECT modularity, CASE WHEN modularity >= 0.3 THEN 'communities' WHEN modularity >= 0.1 THEN 'weak communities' ELSE 'directories' END AS use FROM q""")
+def q07f_modularity_ladder(spark, sf_dir):
+    edges = _bought(spark, sf_dir)
+    return graph.clustering(graph.modularity(edges, graph.min_labels(edges, 1)))
+
+
+@query(f"""WITH {_KG}, p0 AS (SELECT id AS start, id, 0 AS steps FROM kg_nodes WHERE type = 'region'), p1 AS (SELECT start, e.target AS id, 1 AS steps FROM p0 JOIN kg_edges e ON e.source = p0.id), p2 AS (SELECT start, e.target AS id, 2 AS steps FROM p1 JOIN kg_edges e ON e.source = p1.id), p3 AS (SELECT start, e.target AS id, 3 AS steps FROM p2 JOIN kg_edges e ON e.source = p2.id)
+SELECT * FROM p0 UNION ALL SELECT * FROM p1 UNION ALL SELECT * FROM p2 UNION ALL SELECT * FROM p3""")
+def q07g_paths_of_several_steps(spark, sf_dir):
+    nodes, edges = knowledge_graph(spark, sf_dir)
+    return graph.shortest_paths(edges, nodes.where("type = 'region'"), 8).select("start", "id", (F.size("path") - 1).alias("steps"))
+
+
+@query("""WITH s AS (SELECT l_orderkey AS o, l_linenumber AS n, CASE WHEN l_returnflag = 'R' THEN 'go' || l_suppkey ELSE 'p' || l_partkey END AS node, l_returnflag = 'R' AS r FROM lineitem), d AS (SELECT DISTINCT * FROM s)
+SELECT 'p' || a.l_partkey AS start, count(DISTINCT 'p' || c.l_partkey) AS ends FROM lineitem a JOIN lineitem b ON b.l_suppkey = a.l_suppkey JOIN lineitem c ON c.l_suppkey = b.l_suppkey AND c.l_partkey > a.l_partkey WHERE a.l_partkey % 50 = 0 AND b.l_linenumber = 1 AND c.l_linenumber = 1 GROUP BY 1""")
+def q07h_paths_through_redirects(spark, sf_dir):
+    """Suppliers are redirects, which take no place in a path: parts reach later parts of the same supplier in one step."""
+    li = table(spark, sf_dir, "lineitem")
+    into = li.select(F.format_string("p%d", "l_partkey").alias("source"), F.format_string("s%d", "l_suppkey").alias("target"))
+    out = li.where("l_linenumber = 1").select(F.format_string("s%d", "l_suppkey").alias("source"), F.format_string("p%d", "l_partkey").alias("target"))
+    edges = graph.without_redirects(into.unionByName(out).distinct(), into.select(F.col("target").alias("id")).distinct())
+    number = lambda c: F.substr(c, F.lit(2)).cast("long")
+    later = edges.where((number("target") > number("source")) & (number("source") % 50 == 0))
+    return later.groupBy(F.col("source").alias("start")).agg(F.count_distinct("target").alias("ends"))
