@@ -52,6 +52,9 @@ def test_repeats_nulls_empty_and_bands(spark):
     rows = [(1, "Released under the MIT License.", "", 0, 0)] * 3 + [(None, "Released under the MIT License.", "", 0, 0)]
     got = licenses.license_matches(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((r.doc_id or 0, r.license) for r in got) == [(0, "MIT"), (1, "MIT")]
+    two = [(None, "Released under the MIT License.", "", 0, 0), (None, "so it is Released under the MIT License. and more", "", 0, 0), (4, "Released under the MIT License.", "", 0, 0), (4, "Distributed under the Boost Software License, Version 1.0.", "", 0, 0)]
+    got = licenses.license_matches(spark.createDataFrame(two, SCHEMA)).collect()
+    assert sorted((r.doc_id or 0, r.license) for r in got) == [(0, "MIT"), (0, "MIT"), (4, "BSL-1.0"), (4, "MIT")]
     assert licenses.license_matches(spark.createDataFrame([], SCHEMA)).count() == 0
     assert licenses.license_matches(spark.createDataFrame(rows, SCHEMA), templates=()).count() == 0
     n = licenses.bands(4, 20)
