@@ -66,7 +66,7 @@ def language(files: DataFrame) -> DataFrame:
     return counted.select(out.alias("language"), best.alias("votes"))
 
 
-def framework(files: DataFrame, language: str) -> DataFrame:
+def framework(files: DataFrame, language: str = "php") -> DataFrame:
     """One row ``framework``: the first sign in order, a file that is there or one that holds a text; PHP without a sign is ``raw_php``, others ``unknown``."""
     family = {"javascript": "typescript", "kotlin": "java"}.get(language, language)
     signs = dict(FRAMEWORKS).get(family, ())

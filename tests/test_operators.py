@@ -180,3 +180,45 @@ def test_sources_and_streams(spark, tmp_path):
     stream = events.windowed_rollup(events.event_stream(spark, str(tmp_path / "ev"), src.schema))
     out = events.drain(stream, "rollup", str(tmp_path / "ck"))
     assert out.agg(F.sum("calls")).first()[0] == src.count()
+
+
+def test_long_chain_is_live(spark):
+    """A state that is reached in more steps than a fixed depth would allow."""
+    n = 70
+    moves = spark.createDataFrame([(f"s{i}", f"s{i + 1}") for i in range(n)], "from_state string, to_state string")
+    got = {r.state: (r.initial, r.terminal, r.dead) for r in states.machine(spark.createDataFrame([(f"s{i}",) for i in range(n + 1)], "state string"), moves).collect()}
+    assert not any(dead for _, _, dead in got.values()) and got["s0"][0] and got[f"s{n}"][1]
+
+
+def test_blocks_give_what_one_would(spark):
+    from sparkloom.operators import merge
+
+    left, right = spark.range(40).withColumnRenamed("id", "a"), spark.range(100).withColumnRenamed("id", "b")
+    near = lambda some: right.join(F.broadcast(some), F.col("b") % 40 == F.col("a"))
+    assert rows(merge.in_blocks(left, near, 7).select("a", "b")) == rows(merge.in_blocks(left, near).select("a", "b"))
+
+
+def test_redirect_loops_end(spark):
+    from sparkloom.operators import graph
+
+    edges = spark.createDataFrame([("a", "r1"), ("r1", "r2"), ("r2", "r1"), ("r2", "b"), ("b", "c")], "source string, target string")
+    through = spark.createDataFrame([("r1",), ("r2",)], "id string")
+    assert rows(graph.without_redirects(edges, through).select("source", "target")) == [("a", "b"), ("b", "c")]
+    files = spark.createDataFrame([("x/a",), ("x/b",), ("y/c",), ("d",)], "file string")
+    assert rows(graph.by_directory(files).select("file", "community")) == [("d", "Misc"), ("x/a", "x"), ("x/b", "x"), ("y/c", "Misc")]
+
+
+def test_paths_and_sentences(spark):
+    from sparkloom.operators import flows, mining
+
+    paths = spark.createDataFrame([(p,) for p in ("/a/b/c", "/a", "/x/7", "/ab", "/q")], "path string")
+    routes = spark.createDataFrame([("/a/b/",), ("/x/{id}",), ("/q/r",)], "route string")
+    assert rows(flows.known_paths(paths, routes).select("path")) == [("/a",), ("/a/b/c",), ("/q",), ("/x/7",)]
+    said = {
+        "strlen($p) <= 7": "E must be at least 8 characters", "strlen($p) > 0": "E must not be empty", "strlen($p) >= 9": "E must not exceed 8 characters",
+        "!filter_var($x, FILTER_VALIDATE_EMAIL)": "E must be a valid email", "!preg_match('/^[0-9]+$/', $x)": "E must be numeric", "in_array($s, ['a', 'b'])": "E must be one of: 'a', 'b'",
+        "$total >= 10": "E must not exceed 9", "$age < 18": "E must be at least 18", "$i > 5": None, "$o->state !== 'closed'": "E must not be in 'closed' state", "$m == 'edit'": None,
+        "strtotime($d) < time()": "E must be in the past", "!has_permission('x')": "User must have permission to access E",
+    }
+    got = {r.c: r.s for r in spark.createDataFrame([(c,) for c in said], "c string").select("c", mining.sentence(F.col("c"), F.lit("E")).alias("s")).collect()}
+    assert got == said
