@@ -118,10 +118,6 @@ def search_texts(column, items: Items, most: int = 1_000_000):
             yield (a + d, *rest)
 
 
-#: Added to diagonals so that none is negative; the longest item must be shorter.
-_SHIFT = 1 << 22
-
-
 def found_in(texts: list[str], items: Items) -> list[tuple[int, int, int, int, int]]:
     """(text number, item id, edits, start, end) of every item that a text holds, texts being normal.
 
@@ -154,15 +150,19 @@ def found_in(texts: list[str], items: Items) -> list[tuple[int, int, int, int, i
         item, place = items.item[g], items.place[g]
         doc = np.searchsorted(begins, p, "right") - 1
         # One number for each text, item and cell of diagonals; two neighbouring cells are a band.
-        cell = (p - begins[doc] - place + _SHIFT) // items.step[item]
-        key = ((doc * len(items.ids) + item) << 24) | cell
+        shift = int(items.lengths.max())  # so that no diagonal is negative
+        stride = (len(points) + shift) // int(items.step.min()) + 2
+        if len(texts) * len(items.ids) * stride >= 1 << 63:
+            raise ValueError("texts and items are too many for one call")
+        cell = (p - begins[doc] - place + shift) // items.step[item]
+        key = (doc * len(items.ids) + item) * stride + cell
         order = np.argsort(key, kind="stable")
         key, place = key[order], place[order]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         counts = np.diff(np.append(first, len(key)))
         cells = key[first]
         after = np.append(np.where(cells[1:] == cells[:-1] + 1, counts[1:], 0), 0)
-        rows = cells >> 24
+        rows = cells // stride
         enough = np.flatnonzero(counts + after >= items.needs[rows % len(items.ids)])
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for c in enough.tolist():
@@ -173,7 +173,7 @@ def found_in(texts: list[str], items: Items) -> list[tuple[int, int, int, int, i
             if len(np.unique(place[start : start + counts[c] + after[c]])) < items.needs[i]:
                 continue
             k, w = int(items.edits[i]), int(items.step[i])
-            low = int(cells[c] & 0xFFFFFF) * w - _SHIFT  # the least diagonal of the band
+            low = int(cells[c] % stride) * w - shift  # the least diagonal of the band
             begin = max(0, low - k)
             region = texts[d][begin : low + 2 * w + int(items.lengths[i]) + k]
             edits, a, b = distance(items.texts[i], region, k, low + w - begin, w + k + 1)
@@ -239,7 +239,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The documents that hold no benchmark item, with all their columns, without a shuffle."""
+    """The documents that hold no benchmark item, with all their columns, without a shuffle.
+
+    Null and empty texts hold nothing and stay. Null ids and repeated rows are looked at each on its own. Empty tables: nothing goes.
+    """
     spark = docs.sparkSession
     for block in _blocks(benchmark, block_chars):
         docs = docs.mapInArrow(_cleaner(spark.sparkContext.broadcast(block), docs.columns.index(text_col)), docs.schema)

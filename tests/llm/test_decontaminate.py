@@ -71,3 +71,11 @@ def test_odd_rows_and_clean(spark):
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [1, 2, 4]
     assert d.leaks(docs, bench.limit(0)).count() == 0 and d.clean(docs, bench.limit(0)).count() == len(rows)
     assert d.leaks(docs.limit(0), bench).count() == 0
+
+
+def test_a_very_long_item_is_found_where_it_stands():
+    import numpy as np
+
+    letters = np.random.default_rng(1).integers(97, 123, 4_300_000, dtype=np.uint8).tobytes().decode()
+    items = d.Items([(7, letters), (8, "a short item that is not there at all")])
+    assert [x[:3] for x in d.found_in(["z" * 50 + letters, "nothing"], items)] == [(0, 7, 0)]
