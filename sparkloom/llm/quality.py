@@ -117,10 +117,11 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     chosen = chosen.orderBy(F.xxhash64("key"), "key").limit(max_rows)
     rows = docs.select(name.alias("doc_id"), text_or_empty(f"`{text_col}`").alias("text"))
     seen = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("key")).select("doc_id", "label", F.xxhash64("text").alias("hash"), "text")
-    found = document_statistics(seen, "doc_id", "text", (("label", "double"), ("hash", "long"))).repartition(TASKS, "doc_id")
+    found = document_statistics(seen, "doc_id", "text", (("label", "double"), ("hash", "long")))
     one = F.row_number().over(Window.partitionBy("doc_id").orderBy("hash"))
     fold = F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int")
-    train = written(found.withColumn("nth", one).where("nth = 1").select("doc_id", "x", "label", fold.alias("fold")), "quality-train")
+    # The window has dealt the few rows anew, so fewer tasks from here on do not make the scan of the texts narrow.
+    train = written(found.withColumn("nth", one).where("nth = 1").select("doc_id", "x", "label", fold.alias("fold")).coalesce(TASKS), "quality-train")
     # Moments come from sums, too.
     size = len(STATISTICS)
     each = train.select(*[F.col("x")[i].alias(f"x{i}") for i in range(size)])
