@@ -17,12 +17,12 @@ def ladder(steps: list[tuple[Column, Column | str]], last: Column | str | None =
 
 def best_pattern(items: DataFrame, key: list[str], patterns: list[tuple[str, int, list[Column]]], none: str = "none") -> DataFrame:
     """The pattern with most true rules at its threshold or above; of equal scores the first listed."""
-    best_name, best_score = F.lit(none), F.lit(0)
-    for name, threshold, rules in patterns:
-        score = sum((F.coalesce(r, F.lit(False)).cast("int") for r in rules), F.lit(0))
-        better = (score >= threshold) & (score > best_score)
-        best_name, best_score = F.when(better, name).otherwise(best_name), F.when(better, score).otherwise(best_score)
-    return items.select(*key, best_name.alias("pattern"), best_score.alias("matched"))
+    scored = []
+    for i, (name, threshold, some) in enumerate(patterns):
+        score = sum((F.coalesce(r, F.lit(False)).cast("int") for r in some), F.lit(0))
+        scored.append(F.struct(F.when(score >= threshold, score).otherwise(0).alias("score"), F.lit(-i).alias("place"), F.lit(name).alias("name")))
+    best = items.select(*key, F.array_max(F.array(*scored)).alias("best"))
+    return best.select(*key, F.when(F.col("best.score") > 0, F.col("best.name")).otherwise(none).alias("pattern"), F.col("best.score").alias("matched"))
 
 
 def triangulated(rules: DataFrame, evidence: DataFrame, key: str, streams: dict[str, list[str]], category: str = "category") -> DataFrame:

@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from . import code, evidence, extraction, flows, graphs, knowledge, measures, retrieval, structure  # noqa: F401
+from . import code, domain, evidence, extraction, flows, graphs, knowledge, measures, retrieval, structure  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES  # noqa: F401
