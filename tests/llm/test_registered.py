@@ -72,3 +72,16 @@ def test_mix_sizes(spark, docs):
 def test_quality_split(spark, docs):
     got = {r.doc_id: r for r in registry.op3_quality(spark, SF).collect()}
     assert {k: r.held_out for k, r in got.items()} == {k: zlib.crc32(str(k).encode()) % 3 == 1 for k, _ in docs}
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
+def test_same_rows_as_sql(spark, name):
+    import duckdb
+
+    c = duckdb.connect()
+    c.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    cursor = c.execute(registry.ORACLE_SQL[name])
+    names = [d[0] for d in cursor.description]
+    got = registry.QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(names)
+    assert sorted(tuple(r) for r in got.select(*names).collect()) == sorted(cursor.fetchall())
