@@ -79,7 +79,8 @@ def test_same_rows_as_sql(spark, name):
     import duckdb
 
     c = duckdb.connect()
-    c.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        c.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     cursor = c.execute(registry.ORACLE_SQL[name])
     names = [d[0] for d in cursor.description]
     got = registry.QUERIES[name](spark, SF)
