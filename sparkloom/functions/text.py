@@ -9,6 +9,15 @@ from pyspark.sql import functions as F
 STOPWORDS = tuple("the and for that this with are from how what does can should will all its get set use let via per any one two has had not but been each into was".split())
 
 
+#: Letters with marks, and the letters without.
+MARKED, BARE = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"
+
+
+def folded(text: Column) -> Column:
+    """Lower case, Latin letters without their marks."""
+    return F.translate(F.lower(text), MARKED, BARE)
+
+
 def keywords(text: Column) -> Column:
     """Distinct words ``[a-z][a-z0-9_]{2,}`` of the lower-case text that are no stop words."""
     found = F.regexp_extract_all(F.lower(text), F.lit(r"([a-z][a-z0-9_]{2,})"), F.lit(1))

@@ -157,10 +157,10 @@ def sql_facts(files: DataFrame, preview: int = 200) -> DataFrame:
 
 
 def migration_columns(files: DataFrame) -> DataFrame:
-    """``path, table, column, type, nullable, unique`` of schema builder calls."""
+    """``path, table, column, type, nullable, unique, default, refers`` of schema builder calls; ``refers`` is the table of a foreign key."""
     tables = each(files, r"(?s)Schema::(?:create|table)\(\s*['\"](\w+)['\"](.*?)\}\s*\)\s*;", {"table": 1, "text": 2})
     cols = each(tables, r"\$table->(\w+)\(\s*['\"](\w+)['\"][^)]*\)((?:->\w+\([^)]*\))*)", {"type": 1, "column": 2, "tail": 3}, ["path", "table"])
-    return cols.select("path", "table", "column", "type", F.contains("tail", F.lit("nullable")).alias("nullable"), F.contains("tail", F.lit("unique")).alias("unique"))
+    return cols.select("path", "table", "column", "type", F.contains("tail", F.lit("nullable")).alias("nullable"), F.contains("tail", F.lit("unique")).alias("unique"), F.regexp_extract("tail", r"->default\(\s*['\"]?([^'\")]*)", 1).alias("default"), F.regexp_extract("tail", r"->(?:constrained|on)\(\s*['\"](\w+)", 1).alias("refers"))
 
 
 def create_table_columns(sql: DataFrame, text: str = "sql") -> DataFrame:
@@ -218,6 +218,22 @@ def calls(files: DataFrame, builtins: DataFrame) -> DataFrame:
     return found.join(F.broadcast(builtins.select(F.col("name").alias("callee"))), "callee", "left_anti")
 
 
+def call_graph(files: DataFrame, builtins: DataFrame, top: str = "GLOBAL_SCRIPT") -> DataFrame:
+    """``path, caller, callee`` of calls that are no builtins, each once; the caller is the last function that began before, ``top`` without one."""
+    from pyspark.sql import Window
+
+    found = each(files, r"\bfunction\s+&?([A-Za-z_]\w*)\s*\(|(?<![>:\w$])([A-Za-z_]\w*)\s*\(", {"name": 1, "callee": 2})
+    before = Window.partitionBy("path").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
+    rows = found.withColumn("caller", F.coalesce(F.last(F.nullif("name", F.lit("")), True).over(before), F.lit(top))).where("callee <> ''").select("path", "caller", "callee").distinct()
+    return rows.join(F.broadcast(builtins.select(F.col("name").alias("callee"))), "callee", "left_anti").select("path", "caller", "callee")
+
+
+def cron_lines(files: DataFrame) -> DataFrame:
+    """``path, schedule, command`` of the lines of cron files, comments and settings left out."""
+    some = files.where(F.col("path").rlike(r"(^|/)(crontab|cron\.d/[^/]+|[^/]+\.cron)$"))
+    return each(some, r"(?m)^\s*((?:@\w+|(?:[-\d*,/]+\s+){4}[-\d*,/]+))\s+(\S.*?)\s*$", {"schedule": 1, "command": 2}).select("path", "schedule", "command")
+
+
 #: Patterns that tell an entry point: (type, expression of the trigger, confidence).
 ENTRY_POINTS = (
     ("schedule", r"->(?:command|job|call)\(([^)]*)\)\s*->\s*(?:daily|hourly|weekly|monthly|cron|every\w+)", 1.0),

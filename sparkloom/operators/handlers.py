@@ -194,3 +194,23 @@ def methods(files: DataFrame) -> DataFrame:
     last = Window.partitionBy("path").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
     own = found.withColumn("class", F.last(F.when(F.col("kind") != "", F.col("class")), True).over(last))
     return own.where("name <> ''").select("path", "class", "name", "visibility", F.trim("doc").alias("doc"))
+
+
+def schema_fields(files: DataFrame) -> DataFrame:
+    """``path, schema, field, type`` of validation schemas (``const x = z.object({ a: z.string() })``)."""
+    found = each(files, r"(?s)(?:const|let|var)\s+(\w+)\s*=\s*z\.object\(\s*\{(.*?)\}\s*\)", {"schema": 1, "text": 2})
+    return each(found, r"(\w+)\s*:\s*z\.(\w+)\(", {"field": 1, "type": 2}, ["path", "schema"]).select("path", "schema", "field", "type")
+
+
+#: Calls of object mappers: (mapper, expression of the entity and the operation).
+MAPPERS = (("prisma", r"\bprisma\.(\w+)\.(findMany|findUnique|findFirst|create|update|upsert|delete|deleteMany|updateMany|count)\("), ("typeorm", r"\b(\w+)Repository\.(find|findOne|findBy|save|insert|update|delete|remove)\("))
+
+
+def mapper_calls(files: DataFrame) -> DataFrame:
+    """``path, mapper, entity, operation`` of calls of object mappers, each once a file."""
+    parts = []
+    for mapper, pattern in MAPPERS:
+        parts.append(each(files, pattern, {"entity": 1, "operation": 2}).select("path", F.lit(mapper).alias("mapper"), "entity", "operation"))
+    store = each(files, r"\b(getDocs|getDoc|addDoc|setDoc|updateDoc|deleteDoc)\(\s*(?:collection|doc|query)\([^'\"]*['\"](\w+)", {"operation": 1, "entity": 2})
+    parts.append(store.select("path", F.lit("firestore").alias("mapper"), "entity", "operation"))
+    return reduce(DataFrame.unionByName, parts).distinct()

@@ -140,9 +140,9 @@ def q74_create_table(spark, sf_dir):
     return extract.create_table_columns(sql).select("table", "column", "type", "nullable", "default")
 
 
-@query("""SELECT 'm' || p_partkey || '.php' AS path, 'tab' || p_size AS "table", c.n AS "column", c.t AS type, c.x AS nullable, c.u AS "unique" FROM part, LATERAL (SELECT unnest([{'n': 'name', 't': 'string', 'x': false, 'u': true}, {'n': 'size', 't': 'integer', 'x': true, 'u': false}]) AS c)""")
+@query("""SELECT 'm' || p_partkey || '.php' AS path, 'tab' || p_size AS "table", c.n AS "column", c.t AS type, c.x AS nullable, c.u AS "unique", c.d AS "default", c.r AS refers FROM part, LATERAL (SELECT unnest([{'n': 'name', 't': 'string', 'x': false, 'u': true, 'd': '', 'r': ''}, {'n': 'size', 't': 'integer', 'x': true, 'u': false, 'd': p_size::VARCHAR, 'r': ''}, {'n': 'brand_id', 't': 'foreignId', 'x': false, 'u': false, 'd': '', 'r': 'brands'}]) AS c)""")
 def q74b_migrations(spark, sf_dir):
-    text = _f("Schema::create('tab%d', function (Blueprint $table) {\n $table->string('name', 40)->unique();\n $table->integer('size')->nullable();\n});", "p_size")
+    text = _f("Schema::create('tab%d', function (Blueprint $table) {\n $table->string('name', 40)->unique();\n $table->integer('size')->nullable()->default('%d');\n $table->foreignId('brand_id')->constrained('brands');\n});", "p_size", "p_size")
     return extract.migration_columns(_file(table(spark, sf_dir, "part"), _f("m%d.php", "p_partkey"), text))
 
 
@@ -482,3 +482,24 @@ def q113_superglobals_and_redirects(spark, sf_dir):
 @query("""SELECT 'P' || p_partkey || '.php' AS path, 'P' || p_partkey || 'Controller' AS class, m.n AS name, 'public' AS visibility, m.d AS doc FROM part, LATERAL (SELECT unnest([{'n': 'store', 'd': 'Store it.'}, {'n': 'show', 'd': ''}]) AS m)""")
 def q113b_methods(spark, sf_dir):
     return handlers.methods(_laravel(spark, sf_dir))
+
+
+@query("""SELECT 'f' || p_partkey || '.php' AS path, 'f' || p_partkey AS caller, 'g' || p_partkey % 7 AS callee FROM part UNION ALL SELECT 'f' || p_partkey || '.php', 'GLOBAL_SCRIPT', 'boot' FROM part""")
+def q72e_call_graph(spark, sf_dir):
+    files = _functions(spark, sf_dir).withColumn("text", F.concat(F.lit("boot(); "), "text"))
+    return extract.call_graph(files, spark.createDataFrame([("strlen",), ("getenv",)], "name string"))
+
+
+@query("""SELECT 'etc/cron.d/n' || n_nationkey AS path, l.s AS schedule, l.c AS command FROM nation, LATERAL (SELECT unnest([{'s': '*/' || n_regionkey + 1 || ' * * * *', 'c': 'php run.php ' || n_nationkey}, {'s': '@daily', 'c': 'backup'}]) AS l)""")
+def q76d_cron_lines(spark, sf_dir):
+    text = _f("# comment\nPATH=/bin\n*/%d * * * * php run.php %d\n@daily backup\n", F.col("n_regionkey") + 1, "n_nationkey")
+    files = _file(table(spark, sf_dir, "nation"), _f("etc/cron.d/n%d", "n_nationkey"), text)
+    return extract.cron_lines(files.unionByName(files.select(F.concat("path", F.lit("/no.txt")).alias("path"), "text")))
+
+
+@query("""SELECT 'z' || n_nationkey || '.ts' AS path, 'schema' AS kind, 'S' || n_nationkey AS owner, f.f AS item, f.t AS type FROM nation, LATERAL (SELECT unnest([{'f': 'email', 't': 'string'}, {'f': 'age', 't': 'number'}]) AS f) UNION ALL SELECT 'z' || n_nationkey || '.ts', m.m, m.e, m.o, '' FROM nation, LATERAL (SELECT unnest([{'m': 'prisma', 'e': 'user' || n_regionkey, 'o': 'findMany'}, {'m': 'typeorm', 'e': 'order', 'o': 'save'}, {'m': 'firestore', 'e': 'carts', 'o': 'getDocs'}]) AS m)""")
+def q73d_schemas_and_mappers(spark, sf_dir):
+    text = _f("const S%d = z.object({ email: z.string().email(), age: z.number() });\nprisma.user%d.findMany({}); orderRepository.save(o); await getDocs(collection(db, 'carts'));", "n_nationkey", "n_regionkey")
+    files = _file(table(spark, sf_dir, "nation"), _f("z%d.ts", "n_nationkey"), text)
+    one = handlers.schema_fields(files).select("path", F.lit("schema").alias("kind"), F.col("schema").alias("owner"), F.col("field").alias("item"), "type")
+    return one.unionByName(handlers.mapper_calls(files).select("path", F.col("mapper").alias("kind"), F.col("entity").alias("owner"), F.col("operation").alias("item"), F.lit("").alias("type")))
