@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import release_caches, text_or_empty
 from .encoding import balanced
 
 #: Characters of a gram, edits allowed for each character of an item, bits of the first filter.
@@ -225,6 +225,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         def search(batches, shared=shared):
             import pyarrow as pa
 
+            release_caches()
             items = Items(shared.value)
             for batch in batches:
                 ids = batch.column(0).to_pylist()
@@ -253,6 +254,7 @@ def _cleaner(shared, at: int):
     def clean(batches):
         import pyarrow as pa
 
+        release_caches()
         items = Items(shared.value)
         for batch in batches:
             kept = np.ones(batch.num_rows, bool)

@@ -67,10 +67,11 @@ class Encoder:
 
     ``literal``: strings of special tokens in a text are ordinary text;
     otherwise they are handled as the library does by default.
-    ``entries``: pre-tokens kept at most; when there are more, keeping starts anew.
+    ``entries``: about how many pre-tokens are kept. They are in two halves: when the new
+    one is full it becomes the old one, and what is met again moves to the new one, so common ones stay.
     """
 
-    def __init__(self, path: str, literal: bool = False, entries: int = 1_000_000):
+    def __init__(self, path: str, literal: bool = False, entries: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -83,7 +84,7 @@ class Encoder:
         added = [t["content"] for t in made.get("added_tokens", []) if not (literal and t["special"])]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.model, self.pre = self.tokenizer.model, self.tokenizer.pre_tokenizer
-        self.kept, self.entries = {}, entries
+        self.kept, self.old, self.entries = {}, {}, entries
         import regex
 
         self.pattern = regex.compile(_PRE)
@@ -92,8 +93,10 @@ class Encoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _word(self, word: str) -> bytes:
-        """Ids of a pre-token that is not kept yet."""
-        ids = array("I", [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(BYTE_LETTERS))]).tobytes()
+        """Ids of a pre-token that is not among the new ones."""
+        ids = self.old.get(word)
+        if ids is None:
+            ids = array("I", [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(BYTE_LETTERS))]).tobytes()
         if len(word) <= 48:
             self.kept[word] = ids
         return ids
@@ -112,9 +115,15 @@ class Encoder:
 
     def _values(self, keys: list[str]) -> list[bytes]:
         """Ids of the parts that keys stand for; the common kind, a word with signs after it, is cut here."""
-        if len(self.kept) > self.entries:
-            self.kept.clear()
-        out, kept = [], self.kept.get
+        out = []
+        for at in range(0, len(keys), 20_000):
+            if len(self.kept) > self.entries // 2:
+                self.old, self.kept = self.kept, {}
+            self._more(keys[at : at + 20_000], out)
+        return out
+
+    def _more(self, keys: list[str], out: list[bytes]) -> None:
+        kept = self.kept.get
         for k in keys:
             core = k.rstrip(_SIGNS)
             if core.isalpha() and (core.isascii() or max(core) < "\u0250"):
@@ -127,7 +136,6 @@ class Encoder:
             else:
                 head = k[:1]
                 out.append(self._part(k if head == "\n" else k[1:] if head == "\r" else " " + k))
-        return out
 
     def _cut(self, texts):
         """(which texts take the careful cut or None, offsets of the keys of each text, distinct keys, which of them each key is).
@@ -160,11 +168,15 @@ class Encoder:
         values = self._values(keys)
         size = np.fromiter(map(len, values), np.int64, len(values)) >> 2
         flat = np.frombuffer(b"".join(values), "<u4")
-        first = np.cumsum(size) - size
+        del keys, values
         sizes = size[which]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
+        # Places in a batch are small numbers as a rule, and half as wide then.
+        ends = np.zeros(len(sizes) + 1, np.int64)
+        np.cumsum(sizes, out=ends[1:])
         per_text = ends[offsets[1:]] - ends[offsets[:-1]]
-        take = np.arange(ends[-1]) + np.repeat(first[which] - ends[:-1], sizes)
+        kind = np.int32 if ends[-1] < 1 << 31 and len(flat) < 1 << 31 else np.int64
+        take = np.repeat(((np.cumsum(size) - size)[which] - ends[:-1]).astype(kind), sizes)
+        take += np.arange(ends[-1], dtype=kind)
         ids = flat[take]
         if odd is None:
             return ids, per_text

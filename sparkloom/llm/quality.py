@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import dropped, text_or_empty, values, written
+from .common import dropped, release_caches, text_or_empty, values, written
 
 #: The document statistics, in order.
 STATISTICS = (
@@ -89,6 +89,7 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def measure(batches):
         import pyarrow as pa
 
+        release_caches()
         for batch in batches:
             x = np.array([statistics(t) for t in values(batch.column(1))], float).reshape(-1, len(STATISTICS))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(STATISTICS)).cast(pa.list_(pa.float64())), *batch.columns[2:]], names=["doc_id", "x", *[c for c, _ in also]])
@@ -213,6 +214,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_ro
     def good(batches):
         import pyarrow as pa
 
+        release_caches()
         for batch in batches:
             x = np.array([statistics((t or "").encode()) for t in values(batch.column(at))], float).reshape(-1, len(STATISTICS))
             yield batch.filter(pa.array(model.scores(x) >= threshold))

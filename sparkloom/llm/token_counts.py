@@ -9,7 +9,7 @@ from .common import text_or_empty
 from .encoding import balanced, default_vocabulary, encoder, safe_chunks
 
 #: Bytes of a batch given to the encoder, and code points of a piece of a long text.
-BATCH_BYTES, PIECE_CHARS = 32_000_000, 1_000_000
+BATCH_BYTES, PIECE_CHARS = 16_000_000, 1_000_000
 
 
 def _counter(path: str):

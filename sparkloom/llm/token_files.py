@@ -177,7 +177,7 @@ def write_token_files(docs: DataFrame, vocabulary: str | None = None, end_id: in
 
         for batch in batches:
             size = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.int64)
-            for a, b in balanced(size, 32_000_000):
+            for a, b in balanced(size, 16_000_000):
                 ids, n = encode(batch.column(1).slice(a, b - a))
                 ends = np.cumsum(n)
                 ids = np.insert(ids, ends, np.uint32(end_id))
