@@ -21,3 +21,10 @@ def compared(a: DataFrame, b: DataFrame, measures: list[str]) -> DataFrame:
     """Ratios of two one-row summaries; null where the second is zero."""
     left, right = a.select(*[F.col(m).alias(f"a_{m}") for m in measures]), b.select(*[F.col(m).alias(f"b_{m}") for m in measures])
     return left.crossJoin(right).select("*", *[F.when(F.col(f"b_{m}") != 0, F.round(F.col(f"a_{m}") / F.col(f"b_{m}"), 4)).alias(f"ratio_{m}") for m in measures])
+
+
+def rate(df: DataFrame, group: list[str], amount: str, seconds: str) -> DataFrame:
+    """``per_second`` and ``seconds_per_1000`` of an amount; null where there is no time or no amount. Negative amounts count as none."""
+    total, time = F.sum(F.greatest(F.coalesce(F.col(amount), F.lit(0)), F.lit(0))), F.sum(F.coalesce(F.col(seconds), F.lit(0)))
+    out = df.groupBy(*group).agg(total.alias("a"), time.alias("s"))
+    return out.select(*group, F.round(F.when(F.col("s") > 0, F.col("a") / F.col("s")), 4).alias("per_second"), F.round(F.when(F.col("a") > 0, 1000 * F.col("s") / F.col("a")), 4).alias("seconds_per_1000"))

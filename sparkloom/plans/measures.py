@@ -109,3 +109,18 @@ def q20_budget_cut(spark, sf_dir):
 @query("""SELECT event_type, CAST(floor((row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1) / 64) AS BIGINT) AS batch, event_id FROM events""")
 def q20b_batches(spark, sf_dir):
     return merge.batches(table(spark, sf_dir, "events"), 64, ["ts", "event_id"], ["event_type"]).select("event_type", "batch", "event_id")
+
+
+@query("""WITH x AS (SELECT n_nationkey AS nation, CASE WHEN n_nationkey % 3 <> 0 THEN n_regionkey / 5.0 END AS v, CASE WHEN n_nationkey % 4 <> 0 THEN n_nationkey / 25.0 END AS c FROM nation)
+SELECT nation, round(CASE WHEN v IS NOT NULL AND c IS NOT NULL THEN 0.6 * v + 0.4 * c ELSE coalesce(v, c) END, 4) AS accuracy FROM x""")
+def q14g_weighted_with_fallbacks(spark, sf_dir):
+    k = F.col("n_nationkey")
+    v, c = F.when(k % 3 != 0, F.col("n_regionkey") / 5.0), F.when(k % 4 != 0, k / 25.0)
+    return table(spark, sf_dir, "nation").select(k.alias("nation"), F.round(coverage.weighted(v, c), 4).alias("accuracy"))
+
+
+@query("""WITH x AS (SELECT event_type, sum(greatest(coalesce(CASE WHEN event_id % 9 = 0 THEN -1 ELSE event_id % 50 END, 0), 0)) AS a, sum(CASE WHEN event_type = 'click' THEN 0 ELSE coalesce(value, 0) END) AS s FROM events GROUP BY 1)
+SELECT event_type, round(CASE WHEN s > 0 THEN a / s END, 4) AS per_second, round(CASE WHEN a > 0 THEN 1000 * s / a END, 4) AS seconds_per_1000 FROM x""")
+def q09b_rates(spark, sf_dir):
+    events = table(spark, sf_dir, "events").withColumn("tokens", F.when(F.col("event_id") % 9 == 0, -1).otherwise(F.col("event_id") % 50)).withColumn("seconds", F.when(F.col("event_type") == "click", 0.0).otherwise(F.col("value")))
+    return telemetry.rate(events, ["event_type"], "tokens", "seconds")

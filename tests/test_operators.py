@@ -222,3 +222,18 @@ def test_paths_and_sentences(spark):
     }
     got = {r.c: r.s for r in spark.createDataFrame([(c,) for c in said], "c string").select("c", mining.sentence(F.col("c"), F.lit("E")).alias("s")).collect()}
     assert got == said
+
+
+def test_artefacts_sessions_and_first_seen(spark, tmp_path):
+    rows_ = spark.createDataFrame([(1, "a"), (2, "b")], "i int, s string")
+    for kind in ("json", "parquet", "csv"):
+        tables.write_artefact(rows_, str(tmp_path / kind), kind)
+        read = spark.read.format(kind).schema(rows_.schema).load(str(tmp_path / kind))
+        assert rows(read.select("i", "s")) == [(1, "a"), (2, "b")]
+    made = spark.sql("select * from values (timestamp'2024-01-01 00:00:00', 1, 'x'), (timestamp'2024-01-01 00:10:00', 1, 'x'), (timestamp'2024-01-01 05:00:00', 1, 'x'), (timestamp'2024-01-01 00:05:00', 2, 'y') as t(ts, user_id, k)")
+    (tmp_path / "ev").mkdir()
+    made.coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "ev"))
+    stream = lambda: events.event_stream(spark, str(tmp_path / "ev"), made.schema)
+    found = events.drain(events.sessions(stream()), "sessions", str(tmp_path / "c1"), "append")
+    assert [r.events for r in found.orderBy("user_id", "start").collect()][:1] == [2]
+    assert events.drain(events.first_seen(stream(), ["user_id", "k"]), "seen", str(tmp_path / "c2"), "append").count() == 2
