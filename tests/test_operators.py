@@ -237,3 +237,17 @@ def test_artefacts_sessions_and_first_seen(spark, tmp_path):
     found = events.drain(events.sessions(stream()), "sessions", str(tmp_path / "c1"), "append")
     assert [r.events for r in found.orderBy("user_id", "start").collect()][:1] == [2]
     assert events.drain(events.first_seen(stream(), ["user_id", "k"]), "seen", str(tmp_path / "c2"), "append").count() == 2
+
+
+def test_stitched_flows_are_made_once(spark):
+    """Flows of several ends, redirects given twice, hubs of more flows than a list holds; pairs are made last and not compared."""
+    from sparkloom.operators import evidence
+
+    segments = [(i, "home", f"p{i % 3}") for i in range(20)] + [(20, "a", "p0"), (20, "b", "p1"), (21, "a", "x"), (21, None, "p2"), (None, "home", "p0"), (22, "c", None)]
+    redirects = [("p0", "home"), ("p0", "home"), ("p1", "a"), ("p1", "home"), ("p2", "b"), ("p0", None), (None, "a"), ("x", "c")]
+    want = sorted({(f, g) for f, _, last in segments for file, target in redirects for g, first, _ in segments if None not in (f, g, last, target) and last == file and target == first and f != g})
+    given = spark.createDataFrame(segments, "flow int, first string, last string"), spark.createDataFrame(redirects, "file string, target string")
+    for most in (1, 3, 256):
+        assert sorted(map(tuple, evidence.stitched(*given, most).collect())) == want
+    plan = evidence.stitched(*given)._jdf.queryExecution().optimizedPlan().toString()
+    assert not {"Aggregate", "Join"} & set(plan[: plan.index("RepartitionByExpression")].replace("[", " ").split())
