@@ -251,3 +251,19 @@ def test_stitched_flows_are_made_once(spark):
         assert sorted(map(tuple, evidence.stitched(*given, most).collect())) == want
     plan = evidence.stitched(*given)._jdf.queryExecution().optimizedPlan().toString()
     assert not {"Aggregate", "Join"} & set(plan[: plan.index("RepartitionByExpression")].replace("[", " ").split())
+
+
+def test_enriched_features_share_modules(spark):
+    """Pages in two modules, features without modules or pages, rows given twice; pages of modules are not moved for each feature."""
+    from sparkloom.operators import evidence
+
+    features = [(f, p) for f in range(9) for p in (f, f % 2 + 100, 200 + f % 3)] + [(0, 0), (9, None), (None, 101), (None, 7), (10, 500)]
+    modules = [(1, 100), (1, 150), (1, 1), (2, 101), (2, 150), (2, 3), (3, 200), (3, 200), (3, None), (None, 7), (4, 900)]
+    of = lambda p: {n for m, q in modules for k, n in modules if None not in (m, p, n) and q == p and k == m}
+    want = {f: sorted(set().union(*({p} | of(p) for g, p in features if g == f)) - {None}) for f, _ in features}
+    given = spark.createDataFrame(features, "feature int, page int"), spark.createDataFrame(modules, "module int, page int")
+    for most in (1, 2, 16):
+        got = evidence.enriched(*given, most).collect()
+        assert {r.feature: r.pages for r in got} == want and len(got) == len(want)
+    plan = evidence.enriched(*given)._jdf.queryExecution().optimizedPlan().toString()
+    assert not {"Aggregate", "Join"} & set(plan[: plan.index("RepartitionByExpression")].replace("[", " ").split())
